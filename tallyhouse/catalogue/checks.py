@@ -47,7 +47,7 @@ pay_totals AS (SELECT l_orderkey, l_linestatus, {_columns(s.PAYMENT_TOTALS)} FRO
 raw_payment AS (SELECT {_columns(s.PAYMENT)} FROM pay_totals)"""
 _REPORT_LINES = f"""
 report_lines AS (
-  SELECT {_columns(s.REPORT_LINE)} FROM lineitem JOIN part ON l_partkey = p_partkey
+  SELECT {_columns(s.REPORT_ORDER)}, {_columns(s.REPORT_LINE)} FROM lineitem JOIN part ON l_partkey = p_partkey
   JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 _SOLD = "(SELECT DISTINCT c_nationkey, c_mktsegment FROM customer) JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 _MAPPINGS = f"""

@@ -143,8 +143,15 @@ def _entry_rows(t: Tables) -> DataFrame:
     return olap_report(t.report_lines(), report_specs.OLDER_PAYMENT)
 
 
+def _landed(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once and read from there: they are used more than once."""
+    path = scratch_path(t.spark, name)
+    df.write.parquet(path)
+    return t.spark.read.schema(df.schema).parquet(path)
+
+
 def _entry_load(t: Tables):
-    rows = _entry_rows(t)
+    rows = _landed(t, _entry_rows(t), "entry-rows")
     landed = stored(shape_payment_entry(rows, named("Department")), "openDate")
     return load_payment_entry(rows, landed, named("Department"))
 

@@ -8,18 +8,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.operators.joins import hot_keys, join_on_keys
 from tallyhouse.plans.transforms import Mappings
 
 _DAY = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
 
+# Money of a line in ten-thousandths, so that sums are whole-number sums.
+_CENTS = "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)"
+_GROSS = f"({_CENTS} * 100)"
+_AFTER_DISCOUNT = f"({_CENTS} * (100 - CAST(floor(l_discount * 100 + 0.5) AS BIGINT)))"
+_PRICE_CENTS = "CAST(floor(p_retailprice * 100 + 0.5) AS BIGINT)"
+_VAT = f"({_CENTS} * CAST(floor(l_tax * 100 + 0.5) AS BIGINT))"
+
+
+def _money(ten_thousandths: str) -> str:
+    return f"CAST(CAST({ten_thousandths} AS DECIMAL(18,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4))"
+
+
 # Order totals folded from the lines of one order.
 ORDER_TOTALS = {
-    "gross_bd": "sum(CAST(l_extendedprice AS DECIMAL(18,4)))",
-    "gross_ad": "sum(CAST(CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(1 - l_discount AS DECIMAL(9,4)) AS DECIMAL(18,4)))",
-    "vat": "sum(CAST(CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(l_tax AS DECIMAL(9,4)) AS DECIMAL(18,4)))",
-    "units": "sum(CAST(l_quantity AS DECIMAL(18,4)))",
+    "gross_bd": f"sum({_GROSS})",
+    "gross_ad": f"sum({_AFTER_DISCOUNT})",
+    "vat": f"sum({_VAT})",
+    "units": "sum(CAST(l_quantity AS BIGINT))",
     "discounted": "count(CASE WHEN l_discount > 0 THEN 1 END)",
     "combos": "count(CASE WHEN l_linenumber = 1 THEN 1 END)",
     "last_print": "max(l_shipdate)",
@@ -49,32 +62,32 @@ HEADER = {
     "deliveryComment": "CAST(NULL AS STRING)",
     "waiterForTheOrder": "'W' || CAST(n_nationkey AS STRING)",
     "openingTime": f"{_DAY} || 'T10:15:00'",
-    "deliveryPrintTime": f"{_DAY} || 'T10:20:00'",
-    "plannedDeliveryTime": f"CASE WHEN o_orderstatus = 'F' THEN {_DAY} || 'T11:00:00' END",
-    "deliveryDispatchTime": f"CASE WHEN o_orderstatus = 'F' THEN {_DAY} || 'T10:40:00' END",
-    "actualDeliveryTime": f"CASE WHEN o_orderstatus = 'F' THEN {_DAY} || 'T11:05:00' END",
-    "deliveryClosingTime": f"CASE WHEN o_orderstatus = 'F' THEN {_DAY} || 'T11:10:00' END",
+    "deliveryPrintTime": "'T10:20:00'",
+    "plannedDeliveryTime": "CASE WHEN o_orderstatus = 'F' THEN '11:00:00' END",
+    "deliveryDispatchTime": "CASE WHEN o_orderstatus = 'F' THEN '10:40:00' END",
+    "actualDeliveryTime": "CASE WHEN o_orderstatus = 'F' THEN '11:05:00' END",
+    "deliveryClosingTime": "CASE WHEN o_orderstatus = 'F' THEN '11:10:00' END",
     "guestBillTime": f"CASE o_orderstatus WHEN 'P' THEN '' WHEN 'F' THEN {_DAY} || 'T12:30:00' ELSE '12:30:00' END",
-    "deliveryInvoicePrintTime": f"CASE WHEN o_orderstatus = 'F' THEN {_DAY} || 'T10:35:00' END",
+    "deliveryInvoicePrintTime": "CASE WHEN o_orderstatus = 'F' THEN '10:35:00' END",
     "closingTime": f"CASE WHEN o_orderstatus <> 'O' THEN {_DAY} || 'T13:45:00' END",
     "deliveryCancellationReason": "CASE WHEN c_acctbal < 0 THEN 'Guest cancelled' END",
     "deliveryCancellationComment": "CAST(NULL AS STRING)",
     "customerPriceCategory": "CASE WHEN c_acctbal >= 5000 THEN 'VIP' ELSE 'BASE' END",
-    "GrossSalesBD": "CAST(coalesce(gross_bd, 0) AS DECIMAL(18,4))",
-    "discountAmount": "CAST(coalesce(gross_bd - gross_ad, 0) AS DECIMAL(18,4))",
-    "surchargeAmount": "CAST(coalesce(units, 0) AS DECIMAL(18,4))",
-    "grossSalesAD": "CAST(coalesce(gross_ad, 0) AS DECIMAL(18,4))",
-    "VATByBillAmount": "CAST(coalesce(vat, 0) AS DECIMAL(18,4))",
-    "NetSalesAD": "CAST(coalesce(gross_ad - vat, 0) AS DECIMAL(18,4))",
+    "GrossSalesBD": _money("coalesce(gross_bd, 0)"),
+    "discountAmount": _money("coalesce(gross_bd - gross_ad, 0)"),
+    "surchargeAmount": _money("coalesce(units, 0)"),
+    "grossSalesAD": _money("coalesce(gross_ad, 0)"),
+    "VATByBillAmount": _money("coalesce(vat, 0)"),
+    "NetSalesAD": _money("coalesce(gross_ad - vat, 0)"),
     "numberOfGuests": "CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 4 "
                       "WHEN '5-LOW' THEN 5 ELSE 10 END AS BIGINT)",
     "numberOfIitems": "CAST(coalesce(units, 0) AS DECIMAL(18,4))",
     "numberOfDiscountedItems": "CAST(coalesce(discounted, 0) AS BIGINT)",
     "numberOfComboDiscounts": "CAST(coalesce(combos, 0) AS BIGINT)",
-    # One over the guests, written as exact decimals.
-    "averageRevenuePerGuest": "CAST(CAST(coalesce(gross_ad, 0) AS DECIMAL(18,4)) * CAST(CASE o_orderpriority "
-                              "WHEN '1-URGENT' THEN 1.00 WHEN '2-HIGH' THEN 0.50 WHEN '3-MEDIUM' THEN 0.25 "
-                              "WHEN '5-LOW' THEN 0.20 ELSE 0.10 END AS DECIMAL(9,4)) AS DECIMAL(18,4))",
+    # Times one over the guests, the latter in hundredths.
+    "averageRevenuePerGuest": _money("CAST(floor(coalesce(gross_ad, 0) * CASE o_orderpriority WHEN '1-URGENT' THEN 100 "
+                                     "WHEN '2-HIGH' THEN 50 WHEN '3-MEDIUM' THEN 25 WHEN '5-LOW' THEN 20 ELSE 10 END "
+                                     "/ 100) AS BIGINT)"),
     "lastServPrintTime": "CAST(CAST(last_print AS DATE) AS STRING) || 'T12:00:00'",
     "AvgCookingTime": "cooking",
     "AvgCookingTime1": "cooking",
@@ -92,9 +105,6 @@ HEADER = {
 }
 
 _LINE_DAY = "CAST(CAST(l_shipdate AS DATE) AS STRING)"
-_GROSS = "CAST(l_extendedprice AS DECIMAL(18,4))"
-_NET_OF_DISCOUNT = f"CAST({_GROSS} * CAST(1 - l_discount AS DECIMAL(9,4)) AS DECIMAL(18,4))"
-_LINE_VAT = f"CAST({_GROSS} * CAST(l_tax AS DECIMAL(9,4)) AS DECIMAL(18,4))"
 
 SALES = {
     "uniqueOrderId": "CAST(l_orderkey AS STRING)",
@@ -126,15 +136,15 @@ SALES = {
     "surchargeType": "CASE WHEN l_tax > 0 THEN 'tax' END",
     "nameOfDiscountOrSurcharge": "CASE WHEN l_discount > 0 THEN 'happy hour' ELSE '' END",
     "cookingFinishedAt": f"{_LINE_DAY} || 'T11:55:00'",
-    "numberOfItems": "CAST(l_quantity AS DECIMAL(18,4))",
-    "averagePriceBeforeDiscount": "CAST(p_retailprice AS DECIMAL(18,4))",
-    "averagePrice": "CAST(CAST(p_retailprice AS DECIMAL(18,4)) * CAST(1 - l_discount AS DECIMAL(9,4)) AS DECIMAL(18,4))",
-    "grossSalesBD": _GROSS,
-    "discountAmount": f"CAST({_GROSS} - {_NET_OF_DISCOUNT} AS DECIMAL(18,4))",
-    "surchargeAmountAED": "CAST(l_quantity AS DECIMAL(18,4))",
-    "grossSalesAD": _NET_OF_DISCOUNT,
-    "VATByBillAmount": _LINE_VAT,
-    "netSalesAD": f"CAST({_NET_OF_DISCOUNT} - {_LINE_VAT} AS DECIMAL(18,4))",
+    "numberOfItems": "CAST(CAST(l_quantity AS BIGINT) AS DECIMAL(18,4))",
+    "averagePriceBeforeDiscount": _money(f"{_PRICE_CENTS} * 100"),
+    "averagePrice": _money(f"{_PRICE_CENTS} * (100 - CAST(floor(l_discount * 100 + 0.5) AS BIGINT))"),
+    "grossSalesBD": _money(_GROSS),
+    "discountAmount": _money(f"{_GROSS} - {_AFTER_DISCOUNT}"),
+    "surchargeAmountAED": "CAST(CAST(l_quantity AS BIGINT) AS DECIMAL(18,4))",
+    "grossSalesAD": _money(_AFTER_DISCOUNT),
+    "VATByBillAmount": _money(_VAT),
+    "netSalesAD": _money(f"{_AFTER_DISCOUNT} - {_VAT}"),
     "cookingTimeAverage": "l_quantity",
     "cookingTimeAverage1": "l_quantity",
     "cookingTimeAverage2": "CAST(l_linenumber AS DOUBLE)",
@@ -148,8 +158,8 @@ SALES = {
 
 # One payment per order and line status, folded from the lines.
 PAYMENT_TOTALS = {
-    "paid": f"sum({_NET_OF_DISCOUNT})",
-    "paid_vat": f"sum({_LINE_VAT})",
+    "paid": f"sum({_AFTER_DISCOUNT})",
+    "paid_vat": f"sum({_VAT})",
     "vouchers": "count(CASE WHEN l_discount > 0 THEN 1 END)",
     "returned": "max(l_returnflag)",
     "first_day": "min(l_shipdate)",
@@ -171,9 +181,9 @@ PAYMENT = {
     "authorisedByID": "returned || '1'",
     "cashier": "l_linestatus",
     "cashierID": "l_linestatus || '1'",
-    "grossSalesAD": "CAST(paid AS DECIMAL(18,4))",
-    "VATByBillAmount": "CAST(paid_vat AS DECIMAL(18,4))",
-    "netSalesAD": "CAST(paid - paid_vat AS DECIMAL(18,4))",
+    "grossSalesAD": _money("paid"),
+    "VATByBillAmount": _money("paid_vat"),
+    "netSalesAD": _money("paid - paid_vat"),
     "numberOfVouchers": "CAST(vouchers AS BIGINT)",
 }
 
@@ -203,9 +213,10 @@ CURRENCY = {
 DELIVERY_ROWS = "(VALUES ('F', 'Y'), ('O', 'N')) AS t(deliveryName, deliveryNo)"
 ORDER_SOURCE_ROWS = "(VALUES ('HIGH', 'Web'), ('FURNITURE', 'Dine in')) AS t(SourceKey, RefinedOrderSource)"
 
-# Columns of a report line, by report field. `IsVoid` and `IsNonBusinessPayment` are row classes.
-REPORT_LINE = {
-    "UniqOrderId.Id": SALES["uniqueOrderId"],
+# Columns of a report line, by report field: those of its order, and its own. `IsVoid` and `IsNonBusinessPayment` are
+# row classes.
+REPORT_ORDER = {
+    "UniqOrderId.Id": HEADER["uniqueOrderId"],
     "Department": HEADER["store"],
     "Conception": "c_mktsegment",
     "OpenDate.Typed": HEADER["accountingDay"],
@@ -235,6 +246,9 @@ REPORT_LINE = {
     "Delivery.CancelCause": HEADER["deliveryCancellationReason"],
     "Delivery.CancelComment": HEADER["deliveryCancellationComment"],
     "PriceCategory": HEADER["customerPriceCategory"],
+    "GuestNum": HEADER["numberOfGuests"],
+}
+REPORT_LINE = {
     "PayTypes": _PAY_TYPE,
     "PayTypes.Combo": "l_linestatus",
     "CardNumber": "CASE WHEN l_linestatus = 'F' THEN 'card' END",
@@ -273,7 +287,6 @@ REPORT_LINE = {
     "IncreaseSum": SALES["surchargeAmountAED"],
     "DishDiscountSumInt": SALES["grossSalesAD"],
     "VAT.Sum": SALES["VATByBillAmount"],
-    "GuestNum": HEADER["numberOfGuests"],
     "DishAmountInt": SALES["numberOfItems"],
     "ItemSaleEventDiscountType.DiscountAmount": "CAST(CASE WHEN l_discount > 0 THEN 1 ELSE 0 END AS BIGINT)",
     "ItemSaleEventDiscountType.ComboAmount": "CAST(CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END AS BIGINT)",
@@ -296,6 +309,25 @@ def shaped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(text).alias(name) for name, text in columns.items()])
 
 
+# Given, so that opening a table needs no job to read its footer.
+TABLES = {name: T.StructType([T.StructField(column, kind) for column, kind in columns.items()]) for name, columns in {
+    "region": {"r_regionkey": T.IntegerType(), "r_name": T.StringType()},
+    "nation": {"n_nationkey": T.IntegerType(), "n_name": T.StringType(), "n_regionkey": T.IntegerType()},
+    "customer": {"c_custkey": T.LongType(), "c_name": T.StringType(), "c_nationkey": T.IntegerType(),
+                 "c_acctbal": T.DoubleType(), "c_mktsegment": T.StringType()},
+    "supplier": {"s_suppkey": T.LongType(), "s_name": T.StringType(), "s_nationkey": T.IntegerType(),
+                 "s_acctbal": T.DoubleType()},
+    "part": {"p_partkey": T.LongType(), "p_name": T.StringType(), "p_brand": T.StringType(), "p_type": T.StringType(),
+             "p_size": T.IntegerType(), "p_retailprice": T.DoubleType()},
+    "orders": {"o_orderkey": T.LongType(), "o_custkey": T.LongType(), "o_orderstatus": T.StringType(),
+               "o_totalprice": T.DoubleType(), "o_orderdate": T.TimestampNTZType(), "o_orderpriority": T.StringType()},
+    "lineitem": {"l_orderkey": T.LongType(), "l_partkey": T.LongType(), "l_suppkey": T.LongType(),
+                 "l_linenumber": T.IntegerType(), "l_quantity": T.DoubleType(), "l_extendedprice": T.DoubleType(),
+                 "l_discount": T.DoubleType(), "l_tax": T.DoubleType(), "l_returnflag": T.StringType(),
+                 "l_linestatus": T.StringType(), "l_shipdate": T.TimestampNTZType()},
+}.items()}
+
+
 class Tables:
     """The order tables of one folder, and the raw and mapping tables shaped from them."""
 
@@ -304,7 +336,7 @@ class Tables:
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def hot_orders(self) -> tuple[int, ...]:
         """Hot order ids among the lines, from one scan of the key column."""
@@ -321,7 +353,8 @@ class Tables:
     def raw_header(self) -> DataFrame:
         totals = self.read("lineitem").groupBy("l_orderkey").agg(
             *[F.expr(text).alias(name) for name, text in ORDER_TOTALS.items()])
-        return shaped(self._orders().join(totals, F.expr("o_orderkey = l_orderkey"), "left"), HEADER)
+        # One row per order on either side: never a broadcast, whatever the estimate says.
+        return shaped(self._orders().join(totals.hint("merge"), F.expr("o_orderkey = l_orderkey"), "left"), HEADER)
 
     def _items(self) -> DataFrame:
         return self.read("lineitem").join(self.read("part"), F.expr("l_partkey = p_partkey"))
@@ -336,11 +369,10 @@ class Tables:
 
     def report_lines(self) -> DataFrame:
         """Sales lines with the columns of their order. Lines of one hot order stay spread."""
-        orders = self._orders().withColumn("order_id", F.expr("CAST(o_orderkey AS STRING)"))
-        lines = self._items().withColumn("order_id", F.expr("CAST(l_orderkey AS STRING)"))
-        hot = hot_keys(self.read("lineitem").selectExpr("CAST(l_orderkey AS STRING) AS order_id"), ["order_id"])
-        columns = {**REPORT_LINE, "UniqOrderId.Id": "order_id"}
-        return shaped(join_on_keys(lines, orders, ["order_id"], "inner", hot), columns)
+        orders = shaped(self._orders(), REPORT_ORDER)
+        lines = shaped(self._items(), {"UniqOrderId.Id": SALES["uniqueOrderId"], **REPORT_LINE})
+        hot = hot_keys(shaped(self.read("lineitem"), {"UniqOrderId.Id": SALES["uniqueOrderId"]}), ["UniqOrderId.Id"])
+        return join_on_keys(lines, orders, ["UniqOrderId.Id"], "inner", hot)
 
     def stores_with_concepts(self) -> DataFrame:
         sold = self.read("customer").select("c_nationkey", "c_mktsegment").distinct()
@@ -353,9 +385,8 @@ class Tables:
         return shaped(self.stores_with_concepts().filter(VIRTUAL_STORE_FILTER), VIRTUAL_STORES)
 
     def currency_rates(self) -> DataFrame:
-        suppliers = self.read("supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n"))
-        counted = suppliers.join(self._places(), F.expr("s_nationkey = n_nationkey")).groupBy("r_name").agg(
-            F.sum("n").alias("n_suppliers"))
+        suppliers = self.read("supplier").join(self._places(), F.expr("s_nationkey = n_nationkey"))
+        counted = suppliers.groupBy("r_name").agg(F.count(F.lit(1)).alias("n_suppliers"))
         return shaped(counted.filter(CURRENCY_FILTER), CURRENCY)
 
     def mappings(self) -> Mappings:

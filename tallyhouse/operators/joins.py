@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.columns import named
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key below this many rows never overloads a task.
 HOT_ROWS = 1_000_000
@@ -23,7 +25,7 @@ _TRACKED_KEYS = 2_000
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns]
+    widths = [F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) + 8 for c in df.columns]
     return reduce(lambda a, b: a + b, widths, F.lit(16)).cast("bigint")
 
 
@@ -35,7 +37,7 @@ def small_sides(sides: Mapping[str, DataFrame], max_bytes: int = BROADCAST_BYTES
 
 
 def key_digest(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+    return F.xxhash64(*[named(k) for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE) -> tuple[int, ...]:

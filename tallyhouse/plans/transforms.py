@@ -78,32 +78,31 @@ def transform_header(raw: DataFrame, mappings: Mappings, limit: int | None = Non
     if limit is not None:
         live = live.orderBy("accountingDay", "uniqueOrderId").limit(limit)
     c = F.col
-    orders = live.select("*", *_derived(
-        fk_rawHeader=c("pk_rawHeader"),
-        accountingDate=display_date(c("accountingDay")),
-        effectiveDiscount=c("GrossSalesBD") - c("grossSalesAD"),
-        VAT=c("VATByBillAmount"),
-        NetSales=c("NetSalesAD"),
-        NoOfCovers=c("numberOfGuests"),
-        GGGross=c("GrossSalesBD") - c("VATByBillAmount"),
-        OpeningTimeFormated=time_part(c("openingTime")),
-        GuestBillTimeFormated=time_part(c("guestBillTime")),
-        ClosingTimeFormated=time_part(c("closingTime")),
-        orderWaiter=c("waiterForTheOrder"),
-        DataSource=F.lit(data_source),
-        unmappedSource=order_source(c("deliverySource"), c("orderType")),
-        OriginatedCCYN=call_centre_mark(c("deliverySource")),
-        salesTransformed=F.lit(False),
-        paymentTransformed=F.lit(False),
-    ))
+    orders = live.withColumn("unmappedSource", order_source(c("deliverySource"), c("orderType")))
     placed = mappings.join(orders, "virtual_stores", _VIRTUAL_STORE, ["store", "conception"])
     placed = mappings.join(placed, "delivery", _DELIVERY, ["delivery"])
     placed = mappings.join(placed, "order_sources", _ORDER_SOURCE, ["unmappedSource"], "left")
     placed = mappings.join(placed, "currency", _CURRENCY, ["region"])
-    return placed.withColumns({
+    # Derived columns come after the joins, so that no join carries them.
+    derived = {
+        "fk_rawHeader": c("pk_rawHeader"),
+        "accountingDate": display_date(c("accountingDay")),
+        "effectiveDiscount": c("GrossSalesBD") - c("grossSalesAD"),
+        "VAT": c("VATByBillAmount"),
+        "NetSales": c("NetSalesAD"),
+        "NoOfCovers": c("numberOfGuests"),
+        "GGGross": c("GrossSalesBD") - c("VATByBillAmount"),
+        "OpeningTimeFormated": time_part(c("openingTime")),
+        "GuestBillTimeFormated": time_part(c("guestBillTime")),
+        "ClosingTimeFormated": time_part(c("closingTime")),
+        "orderWaiter": c("waiterForTheOrder"),
+        "DataSource": F.lit(data_source),
         "RefinedOrderSource": F.coalesce(c("mappedSource"), c("unmappedSource")),
-        **base_currency(HEADER_MONEY, c("factor")),
-    }).select(*ENRICHED_HEADER_COLUMNS)
+        "OriginatedCCYN": call_centre_mark(c("deliverySource")),
+        "salesTransformed": F.lit(False),
+        "paymentTransformed": F.lit(False),
+    }
+    return placed.withColumns(derived).withColumns(base_currency(HEADER_MONEY, c("factor"))).select(*ENRICHED_HEADER_COLUMNS)
 
 
 def _open_orders(header: DataFrame, mappings: Mappings, flag: str, *columns: str) -> DataFrame:
