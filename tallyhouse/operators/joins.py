@@ -55,6 +55,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, share
     return tuple(entry["item"] for entry in counts if entry["count"] >= floor)
 
 
+def _join(facts: DataFrame, other: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Equi-join that keeps the column order of `facts`, then the other columns of `other`."""
+    kept = list(facts.columns)
+    if how in ("inner", "left"):
+        kept += [name for name in other.columns if name not in on]
+    return facts.join(other, on, how).select(*[named(name) for name in kept])
+
+
 def join_on_keys(facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
                  hot: Sequence[int] = (), max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join two large sides on equal-named, equal-typed keys; `how` keeps or drops rows of `facts` only.
@@ -65,7 +73,7 @@ def join_on_keys(facts: DataFrame, other: DataFrame, on: Sequence[str], how: str
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     if not hot:
-        return facts.join(other, on, how)
+        return _join(facts, other, on, how)
     for key in on:
         if facts.schema[key].dataType != other.schema[key].dataType:
             raise TypeError(f"join key {key!r} differs in type between the sides")
@@ -73,13 +81,13 @@ def join_on_keys(facts: DataFrame, other: DataFrame, on: Sequence[str], how: str
     matches = other.filter(is_hot)
     if "hot" in small_sides({"hot": matches}, max_bytes):
         matches = F.broadcast(matches)
-    cold = facts.filter(~is_hot).join(other.filter(~is_hot), on, how)
-    return cold.unionByName(facts.filter(is_hot).join(matches, on, how))
+    cold = _join(facts.filter(~is_hot), other.filter(~is_hot), on, how)
+    return cold.unionByName(_join(facts.filter(is_hot), matches, on, how))
 
 
 def join_dimension(facts: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner",
                    small: bool = False) -> DataFrame:
     """Join facts to a mapping. `small` says the mapping was measured and fits; else both sides shuffle."""
     if small:
-        return facts.join(F.broadcast(dimension), list(on), how)
+        return _join(facts, F.broadcast(dimension), list(on), how)
     return join_on_keys(facts, dimension, on, how, hot_keys(facts, on))
