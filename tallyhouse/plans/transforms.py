@@ -72,8 +72,10 @@ def transform_header(raw: DataFrame, mappings: Mappings, limit: int | None = Non
     """Enriched order headers.
 
     `limit` caps the batch before the mappings are applied, oldest business date first, ties by order id. Orders
-    without a store, delivery or currency mapping are left out.
+    without a store, delivery or currency mapping are left out. A raw table without a `pk_rawHeader` column gets row
+    ids from its key, the same on every run.
     """
+    row_id = F.col("pk_rawHeader") if "pk_rawHeader" in raw.columns else F.xxhash64("storeID", "uniqueOrderId")
     live = live_headers(raw, full_refresh)
     if limit is not None:
         live = live.orderBy("accountingDay", "uniqueOrderId").limit(limit)
@@ -85,7 +87,7 @@ def transform_header(raw: DataFrame, mappings: Mappings, limit: int | None = Non
     placed = mappings.join(placed, "currency", _CURRENCY, ["region"])
     # Derived columns come after the joins, so that no join carries them.
     derived = {
-        "fk_rawHeader": c("pk_rawHeader"),
+        "fk_rawHeader": row_id,
         "accountingDate": display_date(c("accountingDay")),
         "effectiveDiscount": c("GrossSalesBD") - c("grossSalesAD"),
         "VAT": c("VATByBillAmount"),

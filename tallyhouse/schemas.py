@@ -236,6 +236,26 @@ STORE_MASTER = _struct([("StoreId", "string"), ("StoreCode", "string"), ("Folder
 STORE_MASTER_CONCEPTS = _struct([("StoreId", "string"), ("StoreCode", "string"), ("Concept", "string"),
                                  ("Folder", "string")])
 
+# Enriched columns that are not raw columns of the same name; base-currency and other new columns default below.
+_ENRICHED_TYPES = {
+    "fk_rawHeader": "bigint", "NoOfCovers": "bigint", "exchangeRateAED": RATE, "salesTransformed": "boolean",
+    "paymentTransformed": "boolean", **{name: MONEY for name in (
+        "effectiveDiscount", "VAT", "NetSales", "netSales", "GGGross")},
+}
+
+
+def _enriched(columns, raw: T.StructType) -> T.StructType:
+    def kind(name):
+        if name in raw.names:
+            return raw[name].dataType
+        return _TYPES[MONEY if name.endswith("_BC") else _ENRICHED_TYPES.get(name, "string")]
+    return T.StructType([T.StructField(name, kind(name)) for name in columns])
+
+
+ENRICHED_HEADER = _enriched(ENRICHED_HEADER_COLUMNS, RAW_HEADER)
+ENRICHED_PAYMENT = _enriched(ENRICHED_PAYMENT_COLUMNS, RAW_PAYMENT)
+ENRICHED_SALES = _enriched(ENRICHED_SALES_COLUMNS, RAW_SALES)
+
 
 def report_rows(fields) -> T.StructType:
     """Schema of report rows as the service sends them; business dates arrive as text."""

@@ -18,6 +18,10 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+def ordered(tuples):
+    return sorted(tuples, key=lambda row: [(value is None, str(value)) for value in row])
+
+
 def rows(df):
     """All rows as sorted tuples."""
-    return sorted((tuple(row) for row in df.collect()), key=repr)
+    return ordered(tuple(row) for row in df.collect())

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from conftest import ordered, rows
 
 from tallyhouse.operators.dedupe import find_duplicates, new_rows, stored_rows
 
@@ -16,7 +16,7 @@ def test_new_and_stored_rows_split_the_batch(tables, max_bytes):
     batch, stored = tables
     new = rows(new_rows(batch, stored, "k", max_bytes=max_bytes))
     old = rows(stored_rows(batch, stored, "k", max_bytes=max_bytes))
-    assert sorted(new + old, key=repr) == rows(batch)
+    assert ordered(new + old) == rows(batch)
     assert old == [("a", 1), ("a", 2), ("c", 4)]
 
 
