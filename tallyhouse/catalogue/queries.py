@@ -210,7 +210,7 @@ def _pending(t: Tables, flag: str):
     span = pending_window(header, flag).first()
     ids = not_done(header, flag).select("uniqueOrderId")
     first, last = (date.fromisoformat(text[:10]) for text in span)
-    return DateRange("OpenDate.Typed", first, last), ValueList("UniqOrderId.Id", ids)
+    return DateRange("OpenDate.Typed", first, last), ValueList("UniqOrderId.Id", ids, hot=t.hot_orders())
 
 
 @query("report_payment")
@@ -260,13 +260,13 @@ def report_daily_guests(t: Tables) -> DataFrame:
 @query("report_filter_ids")
 def report_filter_ids(t: Tables) -> DataFrame:
     ids = not_done(t.raw_header(), "fetchSales").select("uniqueOrderId")
-    return _stored_names(olap_report(t.report_lines(), DAILY.filtered(ValueList("UniqOrderId.Id", ids))))
+    return _stored_names(olap_report(t.report_lines(), DAILY.filtered(ValueList("UniqOrderId.Id", ids, hot=t.hot_orders()))))
 
 
 @query("report_filter_ids_excluded")
 def report_filter_ids_excluded(t: Tables) -> DataFrame:
     ids = not_done(t.raw_header(), "fetchSales").select("uniqueOrderId")
-    spec = DAILY.filtered(ValueList("UniqOrderId.Id", ids, inclusive=False))
+    spec = DAILY.filtered(ValueList("UniqOrderId.Id", ids, inclusive=False, hot=t.hot_orders()))
     return _stored_names(olap_report(t.report_lines(), spec))
 
 

@@ -161,7 +161,7 @@ PAYMENT_TOTALS = {
     "paid": f"sum({_AFTER_DISCOUNT})",
     "paid_vat": f"sum({_VAT})",
     "vouchers": "count(CASE WHEN l_discount > 0 THEN 1 END)",
-    "returned": "max(l_returnflag)",
+    "returned": "max(ascii(l_returnflag))",
     "first_day": "min(l_shipdate)",
 }
 _PAY_TYPE = "CASE l_linestatus WHEN 'O' THEN 'Aggregator Payment' WHEN 'F' THEN 'Card' END"
@@ -175,10 +175,10 @@ PAYMENT = {
     "paymentCardNo": "CASE WHEN l_linestatus = 'F' THEN 'card' END",
     "paymentCurrency": "'AED'",
     "nonCashPaymentType": _PAY_TYPE,
-    "creditedTo": "CASE returned WHEN 'R' THEN '' WHEN 'N' THEN 'house' END",
+    "creditedTo": "CASE returned WHEN 82 THEN '' WHEN 78 THEN 'house' END",
     "paymentExchangeRateAED": "CAST(1 AS DECIMAL(18,8))",
-    "authorisedBy": "returned",
-    "authorisedByID": "returned || '1'",
+    "authorisedBy": "CAST(returned AS STRING)",
+    "authorisedByID": "CAST(returned AS STRING) || '1'",
     "cashier": "l_linestatus",
     "cashierID": "l_linestatus || '1'",
     "grossSalesAD": _money("paid"),
@@ -306,7 +306,7 @@ REPORT_LINE = {
 
 
 def shaped(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(text).alias(name) for name, text in columns.items()])
+    return df.selectExpr(*[f"{text} AS `{name}`" for name, text in columns.items()])
 
 
 # Given, so that opening a table needs no job to read its footer.

@@ -56,11 +56,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, share
 
 
 def _join(facts: DataFrame, other: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Equi-join that keeps the column order of `facts`, then the other columns of `other`."""
-    kept = list(facts.columns)
-    if how in ("inner", "left"):
-        kept += [name for name in other.columns if name not in on]
-    return facts.join(other, on, how).select(*[named(name) for name in kept])
+    """Equi-join; the types that keep no column of `other` also keep the column order of `facts`."""
+    joined = facts.join(other, on, how)
+    return joined.select(*[named(name) for name in facts.columns]) if how in ("left_semi", "left_anti") else joined
 
 
 def join_on_keys(facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",

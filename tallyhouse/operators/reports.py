@@ -25,7 +25,11 @@ ORDER_ID = "UniqOrderId.Id"
 
 @dataclass(frozen=True)
 class Part:
-    """A value that can be folded: `kind` is sum, count, max or once (one value per order)."""
+    """A value that can be folded: `kind` is sum, count, latest (a time text) or once (one value per order).
+
+    Every fold has a fixed-width state, which lets Spark aggregate by hash. A text maximum would not: it would sort
+    all rows by all group fields. Times are therefore folded as timestamps; text that is no time is skipped.
+    """
 
     kind: str
     source: str
@@ -36,12 +40,14 @@ class Part:
 
     def over_lines(self) -> Column:
         value = named(self.source)
-        folded = {"sum": F.sum, "count": F.count, "max": F.max, "once": F.max}[self.kind](value)
+        if self.kind == "latest":
+            value = value.try_cast("timestamp_ntz")
+        folded = {"sum": F.sum, "count": F.count, "latest": F.max, "once": F.max}[self.kind](value)
         return folded.alias(self.name)
 
     def over_orders(self) -> Column:
         value = named(self.name)
-        return (F.max(value) if self.kind == "max" else F.sum(value)).alias(self.name)
+        return (F.max(value) if self.kind == "latest" else F.sum(value)).alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -58,6 +64,10 @@ def _quotient(top: Column, bottom: Column) -> Column:
     return F.try_divide(top.cast("double"), bottom.cast("double"))
 
 
+def _time_text(value: Column) -> Column:
+    return F.translate(value.cast("string"), " ", "T")
+
+
 def total(source: str, money: bool = True) -> Measure:
     return Measure((Part("sum", source),), _money if money else lambda v: v.cast("bigint"))
 
@@ -86,7 +96,7 @@ MEASURES: dict[str, Measure] = {
     "DishDiscountSumInt.averageByGuest": per_unit("DishDiscountSumInt", "GuestNum", "once"),
     "DishSumInt.averagePriceWithVAT": per_unit("DishSumInt", "DishAmountInt"),
     "DishDiscountSumInt.averagePriceWithVAT": per_unit("DishDiscountSumInt", "DishAmountInt"),
-    "DishServicePrintTime.Max": Measure((Part("max", "DishServicePrintTime"),), lambda v: v),
+    "DishServicePrintTime.Max": Measure((Part("latest", "DishServicePrintTime"),), _time_text),
     "Cooking.CookingDuration.Avg": average("Cooking.CookingDuration"),
     "Cooking.Cooking1Duration.Avg": average("Cooking.Cooking1Duration"),
     "Cooking.Cooking2Duration.Avg": average("Cooking.Cooking2Duration"),
