@@ -135,7 +135,7 @@ SALES = {
     "discountType": "CASE WHEN l_discount > 0 THEN 'D' || CAST(l_linenumber AS STRING) END",
     "surchargeType": "CASE WHEN l_tax > 0 THEN 'tax' END",
     "nameOfDiscountOrSurcharge": "CASE WHEN l_discount > 0 THEN 'happy hour' ELSE '' END",
-    "cookingFinishedAt": f"{_LINE_DAY} || 'T11:55:00'",
+    "cookingFinishedAt": "'11:5' || CAST(l_linenumber AS STRING)",
     "numberOfItems": "CAST(CAST(l_quantity AS BIGINT) AS DECIMAL(18,4))",
     "averagePriceBeforeDiscount": _money(f"{_PRICE_CENTS} * 100"),
     "averagePrice": _money(f"{_PRICE_CENTS} * (100 - CAST(floor(l_discount * 100 + 0.5) AS BIGINT))"),

@@ -10,9 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Lets a hot key be split even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # HotSpot never compiles a method above this size, and the wide raw and enriched rows make such methods; above it
-    # Spark leaves whole-stage code for compiled per-operator code.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
