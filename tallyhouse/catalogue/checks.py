@@ -62,7 +62,8 @@ _STORES = f"stores AS (SELECT {_columns(s.STORE_MASTER)} FROM {_SOLD})"
 
 
 def _money(amount: str, factor: str = "factor") -> str:
-    return f"CAST({amount} * {factor} AS DECIMAL(18,4))"
+    # The wider type keeps DuckDB from multiplying in 64 bits, which large orders overflow.
+    return f"CAST(CAST({amount} AS DECIMAL(28,4)) * {factor} AS DECIMAL(18,4))"
 
 
 def _enriched(live: str) -> str:
