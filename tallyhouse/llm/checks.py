@@ -2,7 +2,40 @@
 
 from __future__ import annotations
 
+_SMALL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _item_words(text: str) -> str:
+    return _ITEM_WORDS.format(_SMALL.format(f"coalesce({text}, '')"))
+
+
 CHECKS: dict[str, str] = {
+    "op9_decontaminate": f"""
+        WITH i AS (
+            SELECT item_id, {_item_words("text")} AS w FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS run
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS k FROM i WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT DISTINCT n FROM windows
+        ), d AS (
+            SELECT doc_id, {_item_words("text")} AS w FROM documents
+        ), runs AS (
+            SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS run
+            FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)
+        ), found AS (
+            SELECT doc_id, item_id, k, runs.n FROM runs JOIN windows ON runs.n = windows.n AND runs.run = windows.run
+        ), words_hit AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM found)) GROUP BY 1
+        ), named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY 1
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op10_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages

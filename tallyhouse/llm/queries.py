@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import warc
+from tallyhouse.llm import bpe, decontaminate, warc
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,21 @@ def _query(name: str):
     return keep
 
 
+# The rank file of op8; the operators take its path and pattern as parameters.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
+
+@_query("op8_byte_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
+@_query("op9_decontaminate")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query("op10_warc")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
