@@ -11,6 +11,25 @@ def _item_words(text: str) -> str:
 
 
 CHECKS: dict[str, str] = {
+    "op3_passages": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), runs AS (
+            SELECT doc_id, k, md5(array_to_string(w[k:k + 34], ' ')) AS run
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS k FROM d WHERE len(w) >= 35)
+        ), again AS (
+            SELECT doc_id, k FROM (SELECT *, count(*) OVER (PARTITION BY run) AS n FROM runs) WHERE n > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(k, k + 35)) AS p FROM again
+        ), listed AS (
+            SELECT doc_id, count(*) AS n_removed, list(p) AS ps FROM gone GROUP BY 1
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS left_over
+            FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d) x
+            WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = x.doc_id AND g.p = x.p) GROUP BY 1
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+        FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op9_decontaminate": f"""
         WITH i AS (
             SELECT item_id, {_item_words("text")} AS w FROM benchmark

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.automaton import SuffixAutomaton
 from tallyhouse.llm.common import written
 
 WINDOW = 10
@@ -37,87 +37,35 @@ def fold_words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-@dataclass
-class Automaton:
-    """Generalised suffix automaton over word numbers. State 0 is the empty run."""
-
-    window: int
-    vocabulary: dict[bytes, int] = field(default_factory=dict)
-    steps: list[dict[int, int]] = field(default_factory=lambda: [{}])
-    link: list[int] = field(default_factory=lambda: [-1])
-    length: list[int] = field(default_factory=lambda: [0])
-    # Per state: items that hold the window that ends here; and (length, item) of short items that end here.
-    windows: list[tuple[str, ...]] = field(default_factory=list)
-    shorts: list[tuple[tuple[int, str], ...]] = field(default_factory=list)
-    shortest: int = 0
-
-    @classmethod
-    def of(cls, items: Sequence[tuple[str | None, bytes]], window: int) -> Automaton:
-        built = cls(window)
-        runs = [(name, [built.vocabulary.setdefault(w, len(built.vocabulary)) for w in fold_words(text)]) for name, text in items]
+class Automaton(SuffixAutomaton):
+    """Suffix automaton of test items, with what stands at its states."""
+
+    def __init__(self, items: Sequence[tuple[str | None, bytes]], window: int):
+        super().__init__()
+        self.window = window
+        self.vocabulary: dict[bytes, int] = {}
+        runs = [(name, [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in fold_words(text)]) for name, text in items]
         runs = [(name, run) for name, run in runs if run]
         for _, run in runs:
-            last = 0
-            for word in run:
-                last = built._extend(last, word)
-        built._note_items(runs)
-        built.shortest = min((min(len(run), window) for _, run in runs), default=window)
-        return built
-
-    def _new(self, length: int, steps: dict[int, int], link: int) -> int:
-        self.length.append(length)
-        self.steps.append(steps)
-        self.link.append(link)
-        return len(self.length) - 1
-
-    def _split(self, state: int, target: int, word: int) -> int:
-        """The state for the runs of `target` no longer than those of `state` and one word."""
-        copy = self._new(self.length[state] + 1, dict(self.steps[target]), self.link[target])
-        self.link[target] = copy
-        while state >= 0 and self.steps[state].get(word) == target:
-            self.steps[state][word] = copy
-            state = self.link[state]
-        return copy
-
-    def _extend(self, last: int, word: int) -> int:
-        known = self.steps[last].get(word)
-        if known is not None:
-            return known if self.length[known] == self.length[last] + 1 else self._split(last, known, word)
-        new = self._new(self.length[last] + 1, {}, -1)
-        while last >= 0 and word not in self.steps[last]:
-            self.steps[last][word] = new
-            last = self.link[last]
-        if last < 0:
-            self.link[new] = 0
-        else:
-            target = self.steps[last][word]
-            self.link[new] = target if self.length[target] == self.length[last] + 1 else self._split(last, target, word)
-        return new
-
-    def _note_items(self, runs: Sequence[tuple[str | None, list[int]]]) -> None:
-        found: list[set[str]] = [set() for _ in self.length]
-        ends: list[set[tuple[int, str]]] = [set() for _ in self.length]
+            self.add(run)
+        self.shortest = min((min(len(run), window) for _, run in runs), default=window)
+        # Per state: items that hold the window that ends here; and (length, item) of short items that end here.
+        found: list[set[str | None]] = [set() for _ in self.length]
+        ends: list[set[tuple[int, str | None]]] = [set() for _ in self.length]
         for name, run in runs:
             state = 0
-            for i, word in enumerate(run):
+            for i, word in enumerate(run, 1):
                 state = self.steps[state][word]
-                if i + 1 >= self.window:
-                    found[self.cut(state)].add(name)
-            if len(run) < self.window:
+                if i >= window:
+                    found[self.cut(state, window)].add(name)
+            if len(run) < window:
                 ends[state].add((len(run), name))
-        order = sorted(range(1, len(self.length)), key=self.length.__getitem__)
-        # A short item also ends wherever a longer run ends with it: hand it down the links.
-        for state in order:
+        # A short item also ends wherever a longer run ends with it: hand it up from the links.
+        for state in self.by_length():
             ends[state] |= ends[self.link[state]]
         self.windows = [tuple(x) for x in found]
         self.shorts = [tuple(x) for x in ends]
 
-    def cut(self, state: int) -> int:
-        """The state of the last `window` words of a run that is at least so long."""
-        while self.length[self.link[state]] >= self.window:
-            state = self.link[state]
-        return state
-
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Disjoint spans (first word, word after the last) covered by windows, in order; and the items they are of."""
         number = self.vocabulary.get
@@ -139,7 +87,7 @@ class Automaton:
                 size = size + 1 if state else 0
                 start = i
                 if size >= window:
-                    items.update(self.windows[self.cut(state)])
+                    items.update(self.windows[self.cut(state, window)])
                     start = i - window
                 for n, item in self.shorts[state]:
                     if n <= size:
@@ -184,13 +132,13 @@ def automata(items: DataFrame, item_col: str, text_col: str, window: int, shard_
     for name, text in rows:
         n = len(fold_words(bytes(text)))
         if held and size + n > shard_words:
-            shards.append(context.broadcast(Automaton.of(held, window)))
+            shards.append(context.broadcast(Automaton(held, window)))
             held, size = [], 0
             if len(shards) >= MAX_SHARDS:
                 raise ValueError(f"test items exceed {MAX_SHARDS} automata of {shard_words} words")
         held.append((name, bytes(text)))
         size += n
-    return [*shards, context.broadcast(Automaton.of(held, window))]
+    return [*shards, context.broadcast(Automaton(held, window))]
 
 
 _FOUND = "_n_words long, _spans array<int>, _items array<string>"
