@@ -30,6 +30,31 @@ CHECKS: dict[str, str] = {
         )
         SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
         FROM d LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op5_bytespans": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+        ), runs AS (
+            SELECT doc_id, k, md5(substr(h, 2 * k - 1, 200)) AS run
+            FROM (SELECT doc_id, h, unnest(range(1, n - 98)) AS k FROM d WHERE n >= 100)
+        ), later AS (
+            SELECT doc_id, k FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS r FROM runs) WHERE r > 1
+        ), parts AS (
+            SELECT doc_id, k, k - lag(k) OVER (PARTITION BY doc_id ORDER BY k) > 100 AS apart,
+                lag(k) OVER (PARTITION BY doc_id ORDER BY k) IS NULL AS first FROM later
+        ), spans AS (
+            SELECT doc_id, s, min(k) AS a, max(k) + 99 AS b
+            FROM (SELECT *, count(*) FILTER (WHERE first OR apart) OVER (PARTITION BY doc_id ORDER BY k) AS s FROM parts) GROUP BY 1, 2
+        ), pieces AS (
+            SELECT d.doc_id, a, b, substr(h, 2 * coalesce(lag(b) OVER w, 0) + 1, 2 * (a - 1 - coalesce(lag(b) OVER w, 0))) AS before
+            FROM d JOIN spans USING (doc_id) WINDOW w AS (PARTITION BY d.doc_id ORDER BY a)
+        ), cut AS (
+            SELECT doc_id, count(*) AS n_spans, sum(b - a + 1)::BIGINT AS n_removed, max(b) AS last_b,
+                string_agg(before, '' ORDER BY a) AS kept
+            FROM pieces GROUP BY 1
+        )
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+            sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last_b, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN cut USING (doc_id)""",
     "op9_decontaminate": f"""
         WITH i AS (
             SELECT item_id, {_item_words("text")} AS w FROM benchmark

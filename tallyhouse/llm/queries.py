@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, decontaminate, fingerprint, passages, pii, warc
+from tallyhouse.llm import bpe, bytespans, decontaminate, fingerprint, passages, pii, warc
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.report(table(spark, sf_dir, "documents"))
 
 
+@_query("op5_bytespans")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytespans.report(table(spark, sf_dir, "documents"))
+
+
 @_query("op6_pii")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
