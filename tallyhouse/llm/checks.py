@@ -11,6 +11,28 @@ def _item_words(text: str) -> str:
 
 
 CHECKS: dict[str, str] = {
+    "op2_ngram_join": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all({_SMALL.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, md5(array_to_string(w[k:k + 4], ' ')) AS g
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+        ), p AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+            FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
+        ), l AS (
+            SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 75 * (na.n + nb.n - i)
+        ), links AS (
+            SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM d
+            UNION
+            SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id
+        FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY 1""",
     "op3_passages": r"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
