@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, bytespans, decontaminate, fingerprint, ngram_join, passages, pii, warc
+from tallyhouse.llm import bpe, bytespans, decontaminate, fingerprint, lattice_lm, ngram_join, passages, pii, warc
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,8 @@ def _query(name: str):
     return keep
 
 
+# The piece vocabulary of op7.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 # The rank file of op8; the operators take its path and pattern as parameters.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -50,6 +52,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+@_query("op7_lattice_lm")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.report(table(spark, sf_dir, "documents"), PIECES)
+
+
 @_query("op8_byte_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
