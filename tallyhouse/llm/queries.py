@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, bytespans, decontaminate, fingerprint, lattice_lm, ngram_join, passages, pii, warc
+from tallyhouse.llm import bpe, bytespans, decontaminate, fingerprint, lattice_lm, ngram_join, passages, pii, toxicity, warc
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 
+@_query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query("op2_ngram_join")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(table(spark, sf_dir, "documents"))
