@@ -88,11 +88,15 @@ def packed(text: Column, bins: int = BINS) -> Column:
         words = F.sequence(F.lit(0), F.lit(bins // per_word - 1))
         return F.transform(words, lambda g: F.aggregate(
             F.slice(values, g * per_word + 1, per_word), F.lit(0).cast("bigint"),
-            lambda total, v: F.shiftleft(total, BITS).bitwiseOR(v.bitwiseAND(F.lit(low).cast("bigint")))))
+            lambda total, v: F.shiftleft(total, BITS).bitwiseOR(v)))
+
+    def low_bits(values: Column) -> Column:
+        # Mixed with the bin's number, or bins that were filled from one bin would agree by chance all at once.
+        return F.transform(values, lambda v, b: F.xxhash64(v, b).bitwiseAND(F.lit(low).cast("bigint")))
 
     def of(hashes: Column) -> Column:
         return F.when(F.size(hashes) == 0, F.array().cast("array<bigint>")).otherwise(
-            _let(bin_values(hashes, bins), pack))
+            _let(_let(bin_values(hashes, bins), low_bits), pack))
 
     return _let(shingle_hashes(text), of)
 

@@ -104,31 +104,28 @@ class LabelModel:
     correlation: np.ndarray
 
     @classmethod
-    def fitted(cls, votes: np.ndarray, prior: float, rounds: int = 3, steps: int = 15) -> LabelModel:
-        """Expectation maximisation from the majority vote; correlations are estimated anew in each round."""
+    def fitted(cls, votes: np.ndarray, start: np.ndarray, steps: int = 15) -> LabelModel:
+        """Expectation maximisation from `start`, a first guess of each row's label, 0 to 1.
+
+        Correlations are what voters have in common beyond the label, judged by the first guess: judged by its own
+        posterior, a group of copied voters would look like the truth.
+        """
         n, m = votes.shape
-        prior = min(max(prior, 1e-3), 1 - 1e-3)
+        prior = min(max(float(start.mean()), 1e-3), 1 - 1e-3)
         given = [(votes == v).astype(float) for v in (-1, 0, 1)]
-        weight, correlation = np.ones(m), np.eye(m)
-        for k in range(rounds):
-            # Each round starts from the voters' own say, so that weights of the last one lead to no dead end.
-            p = 1 / (1 + np.exp(-(votes.sum(axis=1) - 0.5)))
-            for _ in range(steps):
-                odds = np.zeros((m, 3))
-                for v in range(3):
-                    bad = (p @ given[v] + 0.5) / (p.sum() + 1.5)
-                    good = ((1 - p) @ given[v] + 0.5) / ((1 - p).sum() + 1.5)
-                    odds[:, v] = np.log(bad / good)
-                total = math.log(prior / (1 - prior)) + sum(given[v] @ (odds[:, v] * weight) for v in range(3))
-                p = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
-            # What voters have in common beyond the label: correlation of their votes' residuals.
-            bad = (p @ votes) / max(p.sum(), 1e-9)
-            good = ((1 - p) @ votes) / max((1 - p).sum(), 1e-9)
-            rest = votes - (p[:, None] * bad + (1 - p)[:, None] * good)
-            spread = np.sqrt((rest * rest).mean(axis=0)) + 1e-9
-            correlation = (rest.T @ rest) / n / np.outer(spread, spread)
-            np.fill_diagonal(correlation, 1)
-            weight = 1 / np.clip(correlation, 0, 1).sum(axis=1)
+        p = start.astype(float)
+        bad, good = (p @ votes) / max(p.sum(), 1e-9), ((1 - p) @ votes) / max((1 - p).sum(), 1e-9)
+        rest = votes - (p[:, None] * bad + (1 - p)[:, None] * good)
+        spread = np.sqrt((rest * rest).mean(axis=0)) + 1e-9
+        correlation = (rest.T @ rest) / n / np.outer(spread, spread)
+        np.fill_diagonal(correlation, 1)
+        weight = 1 / np.clip(correlation, 0, 1).sum(axis=1)
+        for _ in range(steps):
+            odds = np.zeros((m, 3))
+            for v in range(3):
+                odds[:, v] = np.log((p @ given[v] + 0.5) / (p.sum() + 1.5)) - np.log(((1 - p) @ given[v] + 0.5) / ((1 - p).sum() + 1.5))
+            total = math.log(prior / (1 - prior)) + sum(given[v] @ (odds[:, v] * weight) for v in range(3))
+            p = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
         return cls(prior, odds, weight, correlation)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
@@ -197,7 +194,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, id_col: str, text_c
     number = known.count()
     if number > rows:
         bound = int(2 ** 64 * (1.2 * rows + 100) / number) - 2 ** 63
-        known = known.filter(F.col("_draw") < F.lit(min(bound, 2 ** 63 - 1)))
+        known = known.filter(F.col("_draw") <= F.lit(min(bound, 2 ** 63 - 1)))
     drawn = known.orderBy("_draw", "_id").limit(rows).select("_id", "_label")
     texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     return texts.join(F.broadcast(drawn), "_id")  # at most `rows` ids
@@ -224,7 +221,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     sample = [features_of(set(w.split())) for w in seen.column("words").to_pylist()]
     voters = Voters.learned(sample, toxic)
     votes = np.array([voters.votes(f, s) for f, s in zip(sample, seen.column("styles").to_pylist())])
-    posterior = LabelModel.fitted(votes, float(toxic.mean())).posterior(votes)
+    posterior = LabelModel.fitted(votes, toxic).posterior(votes)
     return Model(*fit_linear(sample, posterior))
 
 
