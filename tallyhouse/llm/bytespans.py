@@ -22,7 +22,8 @@ from tallyhouse.llm.suffixes import QUEUE_BYTES, sorted_suffixes
 
 WINDOW = 100
 GRAM = 32
-SHARD_BYTES = 4 << 20
+# Small enough for a processor's cache; larger ones are right, too.
+SHARD_BYTES = 1 << 20
 
 
 def later(pieces: Sequence[Piece], window: int, queue_bytes: int = QUEUE_BYTES) -> list[np.ndarray]:
@@ -30,11 +31,11 @@ def later(pieces: Sequence[Piece], window: int, queue_bytes: int = QUEUE_BYTES)
     if not pieces:
         return []
     sizes = np.array([len(p.data) + 1 for p in pieces])
-    text = np.ones(int(sizes.sum()), np.int64)  # 1 divides pieces, 0 ends the last one
+    text = np.ones(int(sizes.sum()), np.int32)  # 1 divides pieces, 0 ends the last one
     text[-1] = 0
     starts = np.cumsum(sizes) - sizes
     for piece, at in zip(pieces, starts.tolist()):
-        text[at:at + len(piece.data)] = np.frombuffer(piece.data, np.uint8).astype(np.int64) + 2
+        text[at:at + len(piece.data)] = np.frombuffer(piece.data, np.uint8).astype(np.int32) + 2
     windows = np.array([p.windows for p in pieces])
     owner = np.repeat(np.arange(len(pieces)), windows)
     offset = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)

@@ -51,18 +51,18 @@ class InductionQueue:
             for i, part in enumerate(parts):
                 if len(part) == 2:
                     at = self._file.tell()
-                    part[0].astype(np.int64).tofile(self._file)
+                    part[0].astype(np.int32).tofile(self._file)
                     part[1].astype(np.uint8).tofile(self._file)
                     parts[i] = (at, len(part[0]), None)
         self._held = 0
 
     def take(self, symbol: int) -> tuple[np.ndarray, np.ndarray]:
         """All entries of a symbol so far, in order; they leave the queue."""
-        positions, common = [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+        positions, common = [np.zeros(0, np.int32)], [np.zeros(0, np.uint8)]
         for part in self._lists.pop(symbol, ()):
             if len(part) == 3:
                 self._file.seek(part[0])
-                positions.append(np.fromfile(self._file, np.int64, part[1]))
+                positions.append(np.fromfile(self._file, np.int32, part[1]))
                 common.append(np.fromfile(self._file, np.uint8, part[1]))
             else:
                 self._held -= part[0].nbytes + part[1].nbytes
@@ -90,16 +90,14 @@ def _smaller(text: np.ndarray) -> np.ndarray:
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at `a` and `b`, at most `limit`, symbol by symbol."""
     length = np.zeros(len(a), np.uint8)
-    open_ = np.arange(len(a))
-    n = len(text)
+    going, i, j = np.arange(len(a)), a, b
     for k in range(limit):
-        i, j = a[open_] + k, b[open_] + k
-        fits = (i < n) & (j < n)
-        open_, i, j = open_[fits], i[fits], j[fits]
-        open_ = open_[text[i] == text[j]]
-        if not len(open_):
+        # The last symbol stands nowhere else, so of two suffixes neither runs past the end before they differ.
+        same = text[i] == text[j]
+        going, i, j = going[same], i[same] + 1, j[same] + 1
+        if not len(going):
             break
-        length[open_] = k + 1
+        length[going] = k + 1
     return length
 
 
@@ -187,12 +185,11 @@ def _doubled(text: np.ndarray, depth: int) -> np.ndarray:
     n, size = len(text), 1
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
     while True:
-        after = np.full(n, -1, np.int64)
-        after[:n - size] = rank[size:]
-        order = np.lexsort((after, rank))
-        key = rank[order], after[order]
-        new = np.append(False, (key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1]))
-        rank = np.empty(n, np.int64)
+        key = rank * (n + 1)
+        key[:n - size] += rank[size:] + 1  # nothing follows the last ones
+        order = np.argsort(key)
+        key = key[order]
+        new = np.append(False, key[1:] != key[:-1])
         rank[order] = np.cumsum(new)
         size *= 2
         if size >= depth or rank[order[-1]] == n - 1:
@@ -205,16 +202,16 @@ def sorted_suffixes(text: np.ndarray, limit: int, queue_bytes: int = QUEUE_BYTES
     `text` holds whole numbers and ends in one that is smaller than all others. Order is promised by the first `depth` symbols (`limit`
     if not given): suffixes that agree so far may stand in any order.
     """
-    if limit > 255:
-        raise ValueError("common prefixes are counted in one byte")
+    if limit > 255 or len(text) >= 2 ** 31:
+        raise ValueError("common prefixes are counted in one byte, positions in four")
     depth = depth or limit
     n = len(text)
     smaller = _smaller(text)
-    seeds = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
+    seeds = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
     if len(seeds):
         ordered = _order_of_seeds(text, smaller, seeds, depth, queue_bytes)
     else:
-        ordered = np.array([n - 1])
+        ordered = np.array([n - 1], np.int32)
     common = np.zeros(len(ordered), np.uint8)
     if limit:
         common[1:] = common_prefix(text, ordered[:-1], ordered[1:], limit)
@@ -232,9 +229,9 @@ def sorted_suffixes(text: np.ndarray, limit: int, queue_bytes: int = QUEUE_BYTES
             positions.append(p[::-1])
             shared.append(np.append(np.zeros(1, np.uint8), c[:0:-1]))
     missing = np.zeros(n, bool)
-    order, shared = np.concatenate(positions) if positions else np.zeros(0, np.int64), np.concatenate(shared) if shared else np.zeros(0, np.uint8)
+    order, shared = np.concatenate(positions) if positions else np.zeros(0, np.int32), np.concatenate(shared) if shared else np.zeros(0, np.uint8)
     missing[order] = True
-    rest = np.flatnonzero(~missing)  # the last suffix, which no other induces
+    rest = np.flatnonzero(~missing).astype(np.int32)  # the last suffix, which no other induces
     order, shared = np.concatenate((rest, order)), np.concatenate((np.zeros(len(rest), np.uint8), shared))
     if limit:
         # Where lists meet nothing was carried over: compare the few neighbours there.
