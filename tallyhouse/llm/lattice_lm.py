@@ -3,8 +3,8 @@
 The vocabulary and its scores are given; scores are merge ranks, so a piece starts with the weight that its rank has
 under Zipf's law. Expectation maximisation over all training words turns them into probabilities. A text's
 probability is the sum over all its segmentations, by a forward recursion in log space. Pieces never cross the start
-of a word, so the sum over a text is the product of the sums over its words, and each distinct word is worked out
-once per block of documents. Characters that no piece covers are spelled in byte pieces.
+of a word, so the sum over a text is the product of the sums over its words, and a word is worked out once for all its
+places. Characters that no piece covers are spelled in byte pieces.
 """
 
 from __future__ import annotations
@@ -211,19 +211,27 @@ def report(documents: DataFrame, path: str, id_col: str = "doc_id", text_col: st
             seen.update(words_of(text.as_py()))
         return pa.table({"_block": pa.array([group.column("_block")[0].as_py()] * len(seen), pa.int64()), "word": pa.array(list(seen), pa.binary())})
 
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = _lattice(given.value)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([lattice.word(w) for w in batch.column(0).to_pylist()], pa.float64())], names=["word", "c", "p"])
+
+    # Words of training documents are worked out once each, others in their block.
+    rated = words.select("word", "c").mapInArrow(rate, "word binary, c long, p double")
     listed = dealt.groupBy("_block").applyInArrow(distinct, "_block long, word binary")
-    tables = listed.join(words, "word", "left").select("_block", "word", F.coalesce("c", F.lit(0)).alias("c"))
+    tables = listed.join(rated, "word", "left").select("_block", "word", F.coalesce("c", F.lit(0)).alias("c"), "p")
     floor = math.log10(n + 0.5 * (v + 1))
 
     def score(group: pa.Table, table: pa.Table) -> pa.Table:
         lattice = _lattice(given.value)
-        at = {word: (math.log10(c + 0.5), c > 0, lattice.word(word)) for word, c in zip(table.column("word").to_pylist(), table.column("c").to_pylist())}
+        listed = zip(*(table.column(x).to_pylist() for x in ("word", "c", "p")))
+        at = {word: (math.log10(c + 0.5), c > 0, lattice.word(word) if p is None else p) for word, c, p in listed}
         out = []
         for text in group.column("_text"):
             found = [at[w] for w in words_of(text.as_py())]
             tokens = len(found) + 1
-            base = math.fsum(x[0] for x in found) + math.log10(ends + 0.5) - tokens * floor
-            out.append((tokens, sum(x[1] for x in found) + (ends > 0), base, (math.fsum(x[2] for x in found) + lattice.end) / _LN10))
+            base = sum([x[0] for x in found]) + math.log10(ends + 0.5) - tokens * floor
+            out.append((tokens, sum([x[1] for x in found]) + (ends > 0), base, (sum([x[2] for x in found]) + lattice.end) / _LN10))
         columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
         return pa.table([group.column("_id"), group.column("_train"), *columns], names=["_id", "_train", "n_tokens", "n_known", "base_score", "score"])
 
