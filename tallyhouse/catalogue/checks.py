@@ -99,10 +99,9 @@ enriched AS (
 
 _LIVE = "(SELECT * FROM raw_header WHERE orderDeleted = 'NOT_DELETED' AND store <> 'Test Lab')"
 _LIVE_NEW = "(SELECT * FROM raw_header WHERE orderDeleted = 'NOT_DELETED' AND store <> 'Test Lab' AND NOT transformFlag)"
-_LIVE_BATCH = ("(SELECT * FROM raw_header WHERE orderDeleted = 'NOT_DELETED' AND store <> 'Test Lab' AND NOT transformFlag "
-               "ORDER BY accountingDay, uniqueOrderId LIMIT 100)")
 _FULL = f"{_RAW_HEADER}, {_MAPPINGS}, {_enriched(_LIVE)}"
 _OLD = "accountingDay < DATE '1998-01-01'"
+_OPEN = f"NOT (e.{_OLD})"
 
 _PAID = f"""
 paid AS (
@@ -115,7 +114,7 @@ paid AS (
     e.region, {_money('p.grossSalesAD')} AS grossSalesAD_BC, {_money('p.VATByBillAmount')} AS VAT_BC,
     {_money('p.netSalesAD')} AS netSales_BC
   FROM raw_payment p JOIN enriched e ON p.uniqueOrderId = e.uniqueOrderId JOIN currency c ON e.region = c.region
-  WHERE NOT (e.{_OLD}))"""
+  WHERE {_OPEN})"""
 _SALES_KEPT = [n for n in schemas.ENRICHED_SALES_COLUMNS if n in schemas.RAW_SALES.names]
 _SOLD_LINES = f"""
 sold AS (
@@ -128,7 +127,17 @@ sold AS (
     {_money('(r.grossSalesBD - r.grossSalesAD)')} AS effectiveDiscount_BC, {_money('r.VATByBillAmount')} AS VAT_BC,
     {_money('r.netSalesAD')} AS netSales_BC
   FROM raw_sales r JOIN enriched e ON r.uniqueOrderId = e.uniqueOrderId JOIN currency c ON e.region = c.region
-  WHERE r.itemDeleted = 'NOT_DELETED' AND NOT (e.{_OLD}))"""
+  WHERE r.itemDeleted = 'NOT_DELETED' AND {_OPEN})"""
+
+
+def _loaded(cte: str, table: str, schema) -> str:
+    """A raw table as it is after its load: null text is empty text."""
+    blank = ", ".join(f"coalesce({n}, '') AS {n}" for n in schema.names if n in _TEXT)
+    return f"""{cte.replace(f"{table} AS (", f"{table}_sent AS (")},
+{table} AS (SELECT * REPLACE ({blank}) FROM {table}_sent)"""
+
+
+_JOB_HEADER = f"{_loaded(_RAW_HEADER, 'raw_header', schemas.RAW_HEADER)}, {_MAPPINGS}, {_enriched(_LIVE)}"
 
 
 def _all(names) -> str:
@@ -227,11 +236,13 @@ SELECT {", ".join(_plain(n, "e." + n) for n in _ENTRY_NAMES)}, s.Folder AS Folde
 FROM entries e JOIN stores s ON e.storeID = s.StoreCode AND e.conception = s.Concept"""
 _MARKS = f"marks AS (SELECT storeID, max(accountingDay) AS mark FROM raw_header WHERE {_OLD} GROUP BY storeID)"
 _RUN = "DATE '2000-12-31'"
-_WIDE = "\"OpenDate.Typed\" BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'"
+_STORE_OPEN = f"""EXISTS (SELECT 1 FROM raw_header h JOIN marks m ON m.storeID = h.storeID
+  WHERE h.uniqueOrderId = b.uniqueOrderId AND b.accountingDay <= {_RUN} AND m.mark < {_RUN}
+    AND b.accountingDay >= CASE WHEN date_diff('day', m.mark, {_RUN}) > 5 THEN m.mark + 1 ELSE m.mark END)"""
 
 CHECKS: dict[str, str] = {
     "transform_header": f"WITH {_FULL} SELECT {_all(schemas.ENRICHED_HEADER_COLUMNS)} FROM enriched",
-    "transform_header_incremental": f"""WITH {_RAW_HEADER}, {_MAPPINGS}, {_enriched(_LIVE_BATCH)}
+    "transform_header_incremental": f"""WITH {_RAW_HEADER}, {_MAPPINGS}, {_enriched(_LIVE_NEW)}
 SELECT {_all(schemas.ENRICHED_HEADER_COLUMNS)} FROM enriched""",
     "transform_payment": f"WITH {_FULL}, {_RAW_PAYMENT}, {_PAID} SELECT {_all(schemas.ENRICHED_PAYMENT_COLUMNS)} FROM paid",
     "transform_sales": f"WITH {_FULL}, {_RAW_SALES}, {_SOLD_LINES} SELECT {_all(schemas.ENRICHED_SALES_COLUMNS)} FROM sold",
@@ -265,14 +276,49 @@ SELECT {_blanked(schemas.RAW_HEADER.names)} FROM batch b
 WHERE EXISTS (SELECT 1 FROM marks m WHERE m.storeID = b.storeID AND b.accountingDay <= {_RUN} AND m.mark < {_RUN}
     AND b.accountingDay >= CASE WHEN date_diff('day', m.mark, {_RUN}) > 5 THEN m.mark + 1 ELSE m.mark END)
   AND NOT EXISTS (SELECT 1 FROM raw_header o WHERE o.{_OLD} AND o.uniqueOrderId = b.uniqueOrderId)""",
-    "report_header": _report(report_specs.HEADER, [schemas.HEADER_FIELDS], f"{_NO_VOID} AND {_WIDE}"),
+    "multi_store_load_payment": f"""WITH {_RAW_HEADER}, {_RAW_PAYMENT}, {_MARKS}
+SELECT {_blanked(schemas.RAW_PAYMENT.names)} FROM raw_payment b
+WHERE {_STORE_OPEN} AND NOT EXISTS (SELECT 1 FROM raw_payment o WHERE o.{_OLD} AND o.uid = b.uid)""",
+    "multi_store_load_sales": f"""WITH {_RAW_HEADER}, {_RAW_SALES}, {_MARKS}
+SELECT {_blanked(schemas.RAW_SALES.names)} FROM raw_sales b
+WHERE {_STORE_OPEN} AND NOT EXISTS (SELECT 1 FROM raw_sales o WHERE o.{_OLD} AND o.uniqueOrderId = b.uniqueOrderId)""",
+    "daily_job": f"WITH {_JOB_HEADER} SELECT {_all([n for n in schemas.ENRICHED_HEADER_COLUMNS if n != 'fk_rawHeader'])} FROM enriched",
+    "daily_job_payment": f"""WITH {_JOB_HEADER}, {_loaded(_RAW_PAYMENT, 'raw_payment', schemas.RAW_PAYMENT)}, {_PAID.replace(_OPEN, "TRUE")}
+SELECT {_all(schemas.ENRICHED_PAYMENT_COLUMNS)} FROM paid""",
+    "daily_job_sales": f"""WITH {_JOB_HEADER}, {_loaded(_RAW_SALES, 'raw_sales', schemas.RAW_SALES)}, {_SOLD_LINES.replace(_OPEN, "TRUE")}
+SELECT {_all(schemas.ENRICHED_SALES_COLUMNS)} FROM sold""",
+    "report_sales_template": _report(report_specs.SALES_TEMPLATE, [schemas.SALES_FIELDS]),
+    "report_payment_brands": _report(
+        report_specs.PAYMENT, [schemas.PAYMENT_FIELDS], f"{_NO_VOID} AND \"Conception\" IN ('FURNITURE', 'BUILDING')"),
+    "append_payment": f"""WITH {_RAW_PAYMENT} SELECT {_all(schemas.RAW_PAYMENT.names)} FROM raw_payment WHERE {_OLD}
+UNION ALL SELECT {_blanked(schemas.RAW_PAYMENT.names)} FROM raw_payment b
+WHERE NOT EXISTS (SELECT 1 FROM raw_payment o WHERE o.{_OLD} AND o.uid = b.uid)""",
+    "append_sales": f"""WITH {_RAW_SALES} SELECT {_all(schemas.RAW_SALES.names)} FROM raw_sales WHERE {_OLD}
+UNION ALL SELECT {_blanked(schemas.RAW_SALES.names)} FROM raw_sales b
+WHERE NOT EXISTS (SELECT 1 FROM raw_sales o WHERE o.{_OLD} AND o.uniqueOrderId = b.uniqueOrderId)""",
+    "append_payment_entry": f"""WITH {_ENTRIES} SELECT {_all(_ENTRY_NAMES)} FROM entries b
+WHERE NOT EXISTS (SELECT 1 FROM entries o WHERE o.openDate < DATE '1998-01-01' AND o.uid = b.uid)""",
+    "append_currency": f"WITH {_MAPPINGS} SELECT region, {_plain('factor')} FROM currency",
+    "snapshot_flags": f"""WITH {_RAW_HEADER}, {_RAW_SALES}
+SELECT uniqueOrderId, {_plain('accountingDay')}, fetchSales OR uniqueOrderId IN (SELECT uniqueOrderId FROM raw_sales) AS fetchSales
+FROM raw_header""",
+    "load_misfits": f"""WITH {_RAW_HEADER}
+SELECT 'GuestNum' AS field, count(*) AS rows FROM raw_header WHERE receiptNo % 3 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'OpenDate.Typed', count(*) FROM raw_header WHERE receiptNo % 5 = 0 HAVING count(*) > 0""",
+    "sink_roundtrip_text": r"""SELECT o_orderkey, '  ' || o_orderpriority || chr(92) || chr(10) || ' "q", ' || chr(92) || chr(13) || chr(10)
+  || chr(92) || 'n' || o_orderstatus || ' ' || chr(9) AS note, '' AS blank FROM orders""",
+    "envelope_rejects": f"""WITH {_RAW_HEADER}, why AS (
+  SELECT CASE WHEN receiptNo % 7 = 0 THEN 'broken' WHEN receiptNo % 11 = 0 THEN 'neither' WHEN delivery = 'P' THEN 'error' END AS reason
+  FROM raw_header)
+SELECT reason, count(*) AS n FROM why WHERE reason IS NOT NULL GROUP BY reason""",
+    "report_header": _report(report_specs.HEADER, [schemas.HEADER_FIELDS]),
     "report_header_template": _report(report_specs.HEADER_TEMPLATE, [schemas.HEADER_FIELDS]),
     "report_payment": _pending_report(report_specs.PAYMENT, [schemas.PAYMENT_FIELDS], "fetchPayment"),
     "report_sales": _pending_report(report_specs.SALES, [schemas.SALES_FIELDS], "fetchSales"),
     "report_payment_v2": _report(
-        report_specs.OLDER_PAYMENT, (), f"{_NO_VOID} AND {_WIDE} AND \"Conception\" IN ('FURNITURE', 'MACHINERY')"),
+        report_specs.OLDER_PAYMENT, (), f"{_NO_VOID} AND \"Conception\" IN ('FURNITURE', 'MACHINERY')"),
     "report_sales_v2": _report(
-        report_specs.OLDER_SALES, (), f"{_NO_VOID} AND {_WIDE} AND \"Conception\" = 'FURNITURE'"),
+        report_specs.OLDER_SALES, (), f"{_NO_VOID} AND \"Conception\" = 'FURNITURE'"),
     "report_sales_fixed": _report(
         report_specs.NAMED_SALES, (),
         f"{_NO_VOID} AND \"OpenDate.Typed\" >= DATE '1998-06-20' AND \"OpenDate.Typed\" < DATE '1998-07-20'"),
@@ -328,10 +374,9 @@ FROM enriched e""",
     "store_existing_header": f"""WITH {_RAW_HEADER}
 SELECT uniqueOrderId, storeID, {_plain('accountingDay')}, {_plain('GrossSalesBD')} FROM raw_header
 WHERE storeID = '7' AND NOT transformFlag""",
-    "store_test_subset": f"""WITH {_RAW_HEADER}, {_STORES},
-chosen AS (SELECT StoreId, Concept FROM stores ORDER BY StoreId, StoreCode, Concept, Folder LIMIT 3)
+    "store_orders": f"""WITH {_RAW_HEADER}, {_STORES}
 SELECT uniqueOrderId, storeID, conception, {_plain('accountingDay')} FROM raw_header h
-WHERE EXISTS (SELECT 1 FROM chosen WHERE StoreId = h.storeID AND Concept = h.conception)""",
+WHERE EXISTS (SELECT 1 FROM stores WHERE StoreId = h.storeID AND Concept = h.conception AND Concept <> 'MACHINERY')""",
     "currency_dimension": f"WITH {_MAPPINGS} SELECT region, {_plain('factor')} FROM currency",
     "load_metrics": f"""WITH {_RAW_HEADER}
 SELECT 'batch' AS step, count(*) AS rows, CAST({len(schemas.RAW_HEADER.names)} AS BIGINT) AS columns FROM raw_header
@@ -339,9 +384,7 @@ UNION ALL SELECT 'duplicates', count(*), {len(schemas.RAW_HEADER.names)} FROM ra
 UNION ALL SELECT 'new', count(*), {len(schemas.RAW_HEADER.names)} FROM raw_header WHERE NOT ({_OLD})""",
     "sink_roundtrip_csv": _EXTRACTS,
     "sink_roundtrip_json": _EXTRACTS,
-    "sink_roundtrip_table": f"""WITH {_RAW_HEADER}
-SELECT uniqueOrderId, storeID, {_plain('accountingDay')}, {_plain('GrossSalesBD')}, AvgCookingTime, closingTime
-FROM raw_header""",
+    "sink_roundtrip_table": f"WITH {_RAW_HEADER} SELECT {_all(schemas.RAW_HEADER.names)} FROM raw_header",
     "envelope_scan": f"""WITH {_RAW_HEADER},
 paid AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, l_linestatus, sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS amount
   FROM lineitem GROUP BY l_orderkey, l_linestatus)

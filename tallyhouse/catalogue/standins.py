@@ -389,9 +389,12 @@ class Tables:
         counted = suppliers.groupBy("r_name").agg(F.count(F.lit(1)).alias("n_suppliers"))
         return shaped(counted.filter(CURRENCY_FILTER), CURRENCY)
 
+    def mapping_tables(self) -> list[tuple[DataFrame, str]]:
+        """Virtual stores, delivery, order sources and currency, with their names."""
+        return [(self.virtual_stores(), "virtual-stores"),
+                (self.spark.sql(f"SELECT * FROM {DELIVERY_ROWS}"), "delivery"),
+                (self.spark.sql(f"SELECT * FROM {ORDER_SOURCE_ROWS}"), "order-sources"),
+                (self.currency_rates(), "currency")]
+
     def mappings(self) -> Mappings:
-        return Mappings.measured(
-            self.virtual_stores(),
-            self.spark.sql(f"SELECT * FROM {DELIVERY_ROWS}"),
-            self.spark.sql(f"SELECT * FROM {ORDER_SOURCE_ROWS}"),
-            self.currency_rates())
+        return Mappings.measured(*(side for side, _ in self.mapping_tables()))

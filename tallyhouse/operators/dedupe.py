@@ -1,8 +1,8 @@
 """Rows of a batch that are stored already, and rows that are not.
 
-The usual batch is far smaller than the table it is loaded into. When its keys are measured to fit a broadcast, the
-stored table is narrowed to those keys where it is read, and what is left of it, bounded by the batch, is broadcast
-back: neither side is shuffled whole. A larger batch is a shuffle join on the distinct stored keys.
+Stored keys are made distinct, or counted, before the join, so no pairs are formed. Nothing is measured beforehand:
+adaptive execution sees how large both sides really are when they are shuffled, and broadcasts the smaller one if it
+fits. The batch is read once.
 """
 
 from __future__ import annotations
@@ -12,43 +12,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import BROADCAST_BYTES, join_dimension, join_on_keys, small_sides
+from tallyhouse.operators.joins import join_on_keys
 
 
-def _match(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], how: str, hot: Sequence[int], max_bytes: int,
-           count: str | None = None) -> DataFrame:
-    """Join the batch to the stored keys, each once, or with their number of stored rows as column `count`."""
-    keys = [key] if isinstance(key, str) else list(key)
-    known = stored.select(*keys)
-    small = "batch" in small_sides({"batch": batch.select(*keys)}, max_bytes)
-    if small:
-        known = known.join(F.broadcast(batch.select(*keys).distinct()), keys, "left_semi")
-    known = known.groupBy(*keys).agg(F.count(F.lit(1)).alias(count)) if count else known.distinct()
-    if small:
-        return join_dimension(batch, known, keys, how, small=True)
-    return join_on_keys(batch, known, keys, how, hot)
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], hot: Sequence[int] = (),
-             max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Batch rows whose key is not stored. Rows repeated inside the batch all stay."""
-    return _match(batch, stored, key, "left_anti", hot, max_bytes)
+def new_rows(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], hot: Sequence[int] = ()) -> DataFrame:
+    """Batch rows whose key is not stored. Rows repeated inside the batch all stay; so do rows with a null key."""
+    keys = _keys(key)
+    return join_on_keys(batch, stored.select(*keys).distinct(), keys, "left_anti", hot)
 
 
-def stored_rows(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], hot: Sequence[int] = (),
-                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def stored_rows(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], hot: Sequence[int] = ()) -> DataFrame:
     """Batch rows whose key is stored, once each."""
-    return _match(batch, stored, key, "left_semi", hot, max_bytes)
+    keys = _keys(key)
+    return join_on_keys(batch, stored.select(*keys).distinct(), keys, "left_semi", hot)
 
 
-def find_duplicates(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], hot: Sequence[int] = (),
-                    repeat: bool = False, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Batch rows whose key is stored, with `storedCopies`, the number of stored rows they match.
-
-    Stored rows are counted per key before the join, so no pairs are formed. `repeat=True` writes each row once per
-    match and drops the count, as a row-by-row inner join would.
-    """
-    found = _match(batch, stored, key, "inner", hot, max_bytes, count="storedCopies")
-    if not repeat:
-        return found
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("storedCopies")))).drop("_copy", "storedCopies")
+def find_duplicates(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], hot: Sequence[int] = ()) -> DataFrame:
+    """Batch rows whose key is stored, with `storedCopies`, the number of stored rows they match."""
+    keys = _keys(key)
+    counted = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("storedCopies"))
+    return join_on_keys(batch, counted, keys, "inner", hot)

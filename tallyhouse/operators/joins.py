@@ -1,8 +1,7 @@
 """Equi-joins that hold up when a few keys own a large share of the rows.
 
-A side is broadcast only after its bytes were measured. Everything else is a shuffle join; keys known to be hot are
-taken out of it and joined against the few matching rows of the other side, so their rows never leave the partition
-they were read in.
+A mapping is broadcast only after its bytes were measured. Two large sides meet in one shuffle join; rows of keys known
+to be hot are dealt to several tasks by a salt, and the few matching rows of the other side are copied to each of them.
 """
 
 from __future__ import annotations
@@ -16,12 +15,13 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.columns import named
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key below this many rows never overloads a task.
+# A key with this many rows is hot, whatever its share of all rows.
 HOT_ROWS = 1_000_000
-# Keys above this share of all rows are split out; smaller skew is left to adaptive execution.
-HOT_SHARE = 1 / 500
+# Tasks that the rows of a hot key are dealt to.
+SALTS = 64
 _TOP_KEYS = 500
-_TRACKED_KEYS = 2_000
+_TRACKED_KEYS = 5_000
+_SALT = "_salt"
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -40,52 +40,47 @@ def key_digest(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[named(k) for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE) -> tuple[int, ...]:
-    """Digests of the join keys that own at least `share` of the rows and at least `min_rows` of them.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> tuple[int, ...]:
+    """Digests of the join keys that own at least `min_rows` rows; the largest of them, where there are very many.
 
-    A mergeable frequent-items sketch finds them in one scan without a shuffle by key; at most 1/share keys can
-    qualify. The answer only picks a join path, so an estimate is enough: results are the same for any answer.
+    A mergeable frequent-items sketch finds them in one scan without a shuffle by key. The answer only picks how rows
+    are dealt, so an estimate is enough: results are the same for any answer.
     """
-    total = df.count()
-    if total < min_rows:
-        return ()
-    counts = df.select(key_digest(keys).alias("key")).agg(
+    top = df.select(key_digest(keys).alias("key")).agg(
         F.expr(f"approx_top_k(key, {_TOP_KEYS}, {_TRACKED_KEYS})").alias("top")).first().top
-    floor = max(min_rows, share * total)
-    return tuple(entry["item"] for entry in counts if entry["count"] >= floor)
-
-
-def _join(facts: DataFrame, other: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Equi-join; the types that keep no column of `other` also keep the column order of `facts`."""
-    joined = facts.join(other, on, how)
-    return joined.select(*[named(name) for name in facts.columns]) if how in ("left_semi", "left_anti") else joined
+    return tuple(entry["item"] for entry in top or () if entry["count"] >= min_rows)
 
 
 def join_on_keys(facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
-                 hot: Sequence[int] = (), max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                 hot: Sequence[int] = (), salts: int = SALTS) -> DataFrame:
     """Join two large sides on equal-named, equal-typed keys; `how` keeps or drops rows of `facts` only.
 
-    `hot` comes from `hot_keys`. Rows with those keys meet a measured broadcast of the matching other rows.
+    `hot` comes from `hot_keys`. Each side is read once. Rows of `facts` with a hot key are dealt to `salts` tasks;
+    other rows with that key are copied to all of them, so `other` should hold few rows for each key.
     """
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if not hot:
-        return _join(facts, other, on, how)
-    for key in on:
-        if facts.schema[key].dataType != other.schema[key].dataType:
-            raise TypeError(f"join key {key!r} differs in type between the sides")
-    is_hot = key_digest(on).isin(*hot)
-    matches = other.filter(is_hot)
-    if "hot" in small_sides({"hot": matches}, max_bytes):
-        matches = F.broadcast(matches)
-    cold = _join(facts.filter(~is_hot), other.filter(~is_hot), on, how)
-    return cold.unionByName(_join(facts.filter(is_hot), matches, on, how))
+    keys = on
+    if hot:
+        for key in on:
+            if facts.schema[key].dataType != other.schema[key].dataType:
+                raise TypeError(f"join key {key!r} differs in type between the sides")
+        is_hot = key_digest(on).isin(*hot)
+        # Rows alike in all columns differ by the task that read them. A retried task deals its rows the same way.
+        spread = F.pmod(F.xxhash64(*[named(c) for c in facts.columns]) + F.spark_partition_id(), F.lit(salts)).cast("int")
+        every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        joined = facts.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0))).join(
+            other.withColumn(_SALT, F.explode(every)), [*on, _SALT], how).drop(_SALT)
+    else:
+        joined = facts.join(other, keys, how)
+    # The types that keep no column of `other` also keep the column order of `facts`.
+    return joined.select(*[named(name) for name in facts.columns]) if how in ("left_semi", "left_anti") else joined
 
 
 def join_dimension(facts: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner",
                    small: bool = False) -> DataFrame:
     """Join facts to a mapping. `small` says the mapping was measured and fits; else both sides shuffle."""
     if small:
-        return _join(facts, F.broadcast(dimension), list(on), how)
+        return facts.join(F.broadcast(dimension), list(on), how)
     return join_on_keys(facts, dimension, on, how, hot_keys(facts, on))

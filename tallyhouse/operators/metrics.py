@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.columns import named
+
 
 def load_metrics(steps: Mapping[str, DataFrame]) -> DataFrame:
     """One row per step: `step`, `rows`, `columns`."""
@@ -17,6 +19,13 @@ def load_metrics(steps: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def misfits(rows: DataFrame, fields) -> DataFrame:
+    """Per report field the number of values that do not fit their stored type: `field`, `rows`. One scan."""
+    counts = [F.count_if(named(field).isNotNull() & named(field).try_cast(kind).isNull()).alias(f"_{i}") for i, (field, _, kind) in enumerate(fields)]
+    each = F.array(*[F.struct(F.lit(field).alias("field"), F.col(f"_{i}").alias("rows")) for i, (field, _, _) in enumerate(fields)])
+    return rows.agg(*counts).select(F.inline(each))
+
+
 def counted(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
     """The same rows, counted while they are written: `observation.get["rows"]` after the write."""
     observation = Observation(step)

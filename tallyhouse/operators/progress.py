@@ -19,7 +19,7 @@ def not_done(df: DataFrame, flag: str) -> DataFrame:
     return df.filter(~F.col(flag))
 
 
-def pending(source: DataFrame, target: DataFrame, key: str, hot: Sequence[int] = ()) -> DataFrame:
+def pending(source: DataFrame, target: DataFrame, key: str | Sequence[str], hot: Sequence[int] = ()) -> DataFrame:
     """Source rows whose key has no row in the target table."""
     return new_rows(source, target, key, hot)
 

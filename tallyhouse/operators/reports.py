@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from datetime import date
+from datetime import date, datetime, time
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,14 +21,15 @@ from tallyhouse.operators.joins import join_on_keys
 from tallyhouse.schemas import MONEY
 
 ORDER_ID = "UniqOrderId.Id"
+_LITERALS = 500
 
 
 @dataclass(frozen=True)
 class Part:
     """A value that can be folded: `kind` is sum, count, latest (a time text) or once (one value per order).
 
-    Every fold has a fixed-width state, which lets Spark aggregate by hash. A text maximum would not: it would sort
-    all rows by all group fields. Times are therefore folded as timestamps; text that is no time is skipped.
+    The latest time is the greatest text by its instant, and comes back as it was sent: with its fraction, its offset
+    or without a day. Text without a day, or that is no time, counts as earlier than any that has one.
     """
 
     kind: str
@@ -41,7 +42,9 @@ class Part:
     def over_lines(self) -> Column:
         value = named(self.source)
         if self.kind == "latest":
-            value = value.try_cast("timestamp_ntz")
+            text = value.cast("string")
+            # A struct is greater by its first field, then by the next one. Text without an offset is in UTC here.
+            value = F.when(text.isNotNull(), F.struct(F.when(text.rlike("^[0-9]{4}-"), text.try_cast("timestamp")).alias("at"), text.alias("text")))
         folded = {"sum": F.sum, "count": F.count, "latest": F.max, "once": F.max}[self.kind](value)
         return folded.alias(self.name)
 
@@ -65,7 +68,7 @@ def _quotient(top: Column, bottom: Column) -> Column:
 
 
 def _time_text(value: Column) -> Column:
-    return F.translate(value.cast("string"), " ", "T")
+    return value.getField("text")
 
 
 def total(source: str, money: bool = True) -> Measure:
@@ -112,7 +115,7 @@ MEASURES: dict[str, Measure] = {
 
 @dataclass(frozen=True)
 class DateRange:
-    """Dates from `first` to `last`. Equal bounds mean that one day, whichever ends are included."""
+    """Days from `first` to `last`. Equal bounds mean that one day, whichever ends are included."""
 
     field: str
     first: date
@@ -133,8 +136,8 @@ class DateRange:
 class ValueList:
     """Keep (`inclusive`) or drop rows whose field is in `values`.
 
-    A short list is a plain sequence. A key list of any length is a one-column DataFrame and becomes a join; `hot`
-    are its hot keys, as found by `hot_keys` on the reported rows.
+    A short list is a plain sequence; one of more than `_LITERALS` values, like a one-column DataFrame, becomes a join.
+    `hot` are the hot keys of the reported rows, as found by `hot_keys`.
     """
 
     field: str
@@ -143,11 +146,14 @@ class ValueList:
     hot: tuple[int, ...] = ()
 
     def apply(self, df: DataFrame) -> DataFrame:
-        if not isinstance(self.values, DataFrame):
+        values = self.values
+        if not isinstance(values, DataFrame) and len(values) > _LITERALS:
+            values = df.sparkSession.createDataFrame([(str(v),) for v in values], "value string")
+        if not isinstance(values, DataFrame):
             listed = F.coalesce(named(self.field).isin(list(self.values)), F.lit(False))
             return df.filter(listed if self.inclusive else ~listed)
-        keys = self.values.select(named(self.values.columns[0]).alias("_key")).distinct()
-        keyed = df.withColumn("_key", named(self.field))
+        keys = values.select(named(values.columns[0]).cast("string").alias("_key")).distinct()
+        keyed = df.withColumn("_key", named(self.field).cast("string"))
         how = "left_semi" if self.inclusive else "left_anti"
         return join_on_keys(keyed, keys, ["_key"], how, self.hot).drop("_key")
 
@@ -166,13 +172,21 @@ class ReportSpec:
 
     @classmethod
     def from_request(cls, text: str) -> ReportSpec:
-        """Read a report request in the JSON form the service takes."""
+        """Read a report request in the JSON form the service takes.
+
+        What a report here has no way to honour is an error: value ranges, calculated fields, stacked columns, and
+        date bounds inside a day, as the report's dates are days.
+        """
         request = json.loads(text)
+        for name in ("calculatedFields", "stackByDataFields"):
+            if request.get(name):
+                raise ValueError(f"report request with {name}")
         filters = []
         for item in request.get("filters", []):
+            if item.get("valueMin") is not None or item.get("valueMax") is not None:
+                raise ValueError(f"value range on {item['field']!r}")
             if item["filterType"] == "date_range":
-                filters.append(DateRange(item["field"], date.fromisoformat(item["dateFrom"][:10]),
-                                         date.fromisoformat(item["dateTo"][:10]),
+                filters.append(DateRange(item["field"], _day(item["dateFrom"]), _day(item["dateTo"]),
                                          item.get("includeLeft", True), item.get("includeRight", False)))
             elif item["filterType"] == "value_list":
                 filters.append(ValueList(item["field"], tuple(item["valueList"]), item.get("inclusiveList", True)))
@@ -182,6 +196,13 @@ class ReportSpec:
                    request.get("includeVoidTransactions", False), request.get("includeNonBusinessPaymentTypes", True))
 
 
+def _day(text: str) -> date:
+    at = datetime.fromisoformat(text)
+    if at.time() != time():
+        raise ValueError(f"date bound inside a day: {text!r}")
+    return at.date()
+
+
 def olap_report(lines: DataFrame, spec: ReportSpec, void: str = "IsVoid", non_business: str = "IsNonBusinessPayment") -> DataFrame:
     """Run a report over sale lines. Output columns are the group fields, then the data fields.
 

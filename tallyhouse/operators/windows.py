@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.columns import as_date, iso_time
+from tallyhouse.functions.columns import as_date, iso_time, named
 from tallyhouse.operators.joins import join_dimension, small_sides
 from tallyhouse.operators.progress import not_done
 
@@ -57,7 +57,7 @@ def rows_to_backfill(rows: DataFrame, marks: DataFrame, run_date: date, max_days
         F.min("dateFrom").alias("_from"), F.max("dateTo").alias("_to"))
     small = "spans" in small_sides({"spans": spans})
     joined = join_dimension(rows, spans, [store], "inner", small)
-    return joined.filter(as_date(F.col(day)).between(F.col("_from"), F.col("_to"))).select(*rows.columns)
+    return joined.filter(as_date(F.col(day)).between(F.col("_from"), F.col("_to"))).select(*[named(c) for c in rows.columns])
 
 
 def previous_day(df: DataFrame, day: str, run_date: date) -> DataFrame:

@@ -18,9 +18,15 @@ from tallyhouse.schemas import (
     RAW_PAYMENT, RAW_SALES, SALES_FIELDS)
 
 
-def typed(rows: DataFrame, fields, *more: Column) -> DataFrame:
-    """Report fields under their stored names and types; a value that does not fit its type becomes null."""
-    return rows.select(*[named(field).try_cast(kind).alias(stored) for field, stored, kind in fields], *more)
+def typed(rows: DataFrame, fields, *more: Column, strict: bool = False) -> DataFrame:
+    """Report fields under their stored names and types.
+
+    A value that does not fit its type becomes null (`metrics.misfits` counts them), or is an error if `strict`.
+    """
+    def cast(column: Column, kind: str) -> Column:
+        return column.cast(kind) if strict else column.try_cast(kind)
+
+    return rows.select(*[cast(named(field), kind).alias(stored) for field, stored, kind in fields], *more)
 
 
 def _shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -59,8 +65,16 @@ def load_header(rows: DataFrame, stored: DataFrame, store_id: Column, untransfor
     return new_rows(batch.dropDuplicates(key) if once else batch, known, key)
 
 
-def load_payment(rows: DataFrame, stored: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
-    return new_rows(shape_payment(rows), stored, "uid", hot)
+def _new_by_uid(batch: DataFrame, stored: DataFrame, hot: Sequence[int], blank_is_new: bool) -> DataFrame:
+    """Rows whose `uid` is not stored. A blank one says nothing about its row: it is new unless asked otherwise."""
+    if not blank_is_new:
+        return new_rows(batch, stored, "uid", hot)
+    key = F.nullif(F.col("uid"), F.lit(""))  # a null never matches
+    return new_rows(batch.withColumn("_key", key), stored.select(key.alias("_key")), "_key", hot).drop("_key")
+
+
+def load_payment(rows: DataFrame, stored: DataFrame, hot: Sequence[int] = (), blank_is_new: bool = True) -> DataFrame:
+    return _new_by_uid(shape_payment(rows), stored, hot, blank_is_new)
 
 
 def load_sales(rows: DataFrame, stored: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
@@ -76,7 +90,8 @@ class EntryLoad(NamedTuple):
 def load_payment_entry(rows: DataFrame, stored: DataFrame, store_id: Column, hot: Sequence[int] = ()) -> EntryLoad:
     """New rows of the older payment table, and the rows that were stored before."""
     batch = shape_payment_entry(rows, store_id)
-    return EntryLoad(new_rows(batch, stored, "uid", hot), find_duplicates(batch, stored, "uid", hot))
+    known = stored.filter(F.col("uid") != "")
+    return EntryLoad(_new_by_uid(batch, stored, hot, True), find_duplicates(batch, known, "uid", hot))
 
 
 def load_all_stores(rows: DataFrame, stored: DataFrame, marks: DataFrame, run_date: date, max_days: int,
@@ -86,6 +101,29 @@ def load_all_stores(rows: DataFrame, stored: DataFrame, marks: DataFrame, run_da
     return new_rows(rows_to_backfill(batch, marks, run_date, max_days, start_date), stored, ["storeID", "uniqueOrderId"])
 
 
+class StoresLoad(NamedTuple):
+    headers: DataFrame
+    payments: DataFrame
+    sales: DataFrame
+
+
+def load_all_tables(headers: DataFrame, payments: DataFrame, sales: DataFrame, stored: StoresLoad, marks: DataFrame,
+                    run_date: date, max_days: int, store_id: Column, payment_store: Column, sales_store: Column,
+                    hot: Sequence[int] = ()) -> StoresLoad:
+    """The loads of header, payments and sales of every store, over the open windows of the stores.
+
+    Payments and sales rows carry no store, so `payment_store` and `sales_store` say which it is.
+    """
+    def inside(rows: DataFrame, store: Column, day: str) -> DataFrame:
+        marked = rows.withColumns({"_store": store.cast("string"), "_day": named(day)})
+        return rows_to_backfill(marked, marks.withColumnRenamed("storeID", "_store"), run_date, max_days, store="_store", day="_day").drop("_store", "_day")
+
+    return StoresLoad(
+        load_all_stores(headers, stored.headers, marks, run_date, max_days, store_id),
+        load_payment(inside(payments, payment_store, "OpenDate.Typed"), stored.payments),
+        load_sales(inside(sales, sales_store, "OpenDate.Typed"), stored.sales, hot))
+
+
 def load_currency(sheet: DataFrame) -> DataFrame:
     """Currency sheet rows under their stored names."""
     return _shaped(typed(sheet, CURRENCY_FIELDS), CURRENCY)

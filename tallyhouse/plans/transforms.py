@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,9 +13,17 @@ from tallyhouse.functions.columns import (
     time_part)
 from tallyhouse.operators.joins import BROADCAST_BYTES, join_dimension, join_on_keys, small_sides
 from tallyhouse.operators.progress import not_done
+from tallyhouse.sources.readers import require_unique
 from tallyhouse.schemas import ENRICHED_HEADER_COLUMNS, ENRICHED_PAYMENT_COLUMNS, ENRICHED_SALES_COLUMNS
 
 
+# What a row of each mapping is found by.
+_MAPPING_KEYS = {
+    "virtual_stores": ("storeName", "conceptionName"), "delivery": ("deliveryName",), "order_sources": ("SourceKey",),
+    "currency": ("region",),
+}
+
+
 @dataclass(frozen=True)
 class Mappings:
     """The mapping tables and which of them were measured small enough to broadcast."""
@@ -29,7 +37,9 @@ class Mappings:
     @classmethod
     def measured(cls, virtual_stores: DataFrame, delivery: DataFrame, order_sources: DataFrame, currency: DataFrame,
                  max_bytes: int = BROADCAST_BYTES) -> Mappings:
+        """The mappings, measured and checked: a repeated key would multiply orders, so it is an error."""
         sides = dict(virtual_stores=virtual_stores, delivery=delivery, order_sources=order_sources, currency=currency)
+        require_unique({name: (side, _MAPPING_KEYS[name]) for name, side in sides.items()})
         return cls(**sides, small=small_sides(sides, max_bytes))
 
     def join(self, facts: DataFrame, name: str, columns: dict[str, str], on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -67,19 +77,18 @@ def _derived(**columns: Column) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 
 
-def transform_header(raw: DataFrame, mappings: Mappings, limit: int | None = None, full_refresh: bool = False,
-                     data_source: str = "POS") -> DataFrame:
+def transform_header(raw: DataFrame, mappings: Mappings, full_refresh: bool = False, data_source: str = "POS",
+                     keep: Mapping[str, Column] | None = None) -> DataFrame:
     """Enriched order headers.
 
-    `limit` caps the batch before the mappings are applied, oldest business date first, ties by order id. Orders
-    without a store, delivery or currency mapping are left out. A raw table without a `pk_rawHeader` column gets row
-    ids from its key, the same on every run.
+    Orders without a store, delivery or currency mapping are left out; `unmapped_headers` lists them. A raw table
+    without a `pk_rawHeader` column gets row ids from its key, the same on every run. `keep` adds columns of the raw
+    row to the enriched one.
     """
     row_id = F.col("pk_rawHeader") if "pk_rawHeader" in raw.columns else F.xxhash64("storeID", "uniqueOrderId")
     live = live_headers(raw, full_refresh)
-    if limit is not None:
-        live = live.orderBy("accountingDay", "uniqueOrderId").limit(limit)
     c = F.col
+    live = live.withColumns(dict(keep or {}))
     orders = live.withColumn("unmappedSource", order_source(c("deliverySource"), c("orderType")))
     placed = mappings.join(orders, "virtual_stores", _VIRTUAL_STORE, ["store", "conception"])
     placed = mappings.join(placed, "delivery", _DELIVERY, ["delivery"])
@@ -104,7 +113,7 @@ def transform_header(raw: DataFrame, mappings: Mappings, limit: int | None = Non
         "salesTransformed": F.lit(False),
         "paymentTransformed": F.lit(False),
     }
-    return placed.withColumns(derived).withColumns(base_currency(HEADER_MONEY, c("factor"))).select(*ENRICHED_HEADER_COLUMNS)
+    return placed.withColumns(derived).withColumns(base_currency(HEADER_MONEY, c("factor"))).select(*ENRICHED_HEADER_COLUMNS, *(keep or ()))
 
 
 def _open_orders(header: DataFrame, mappings: Mappings, flag: str, *columns: str) -> DataFrame:
@@ -116,23 +125,25 @@ def _open_orders(header: DataFrame, mappings: Mappings, flag: str, *columns: str
     return mappings.join(waiting, "currency", _CURRENCY, ["region"])
 
 
-def transform_payment(raw: DataFrame, header: DataFrame, mappings: Mappings, hot: Sequence[int] = ()) -> DataFrame:
-    """Enriched payments of the enriched orders. `hot`: hot order ids of `raw`, see `hot_keys`."""
+def transform_payment(raw: DataFrame, header: DataFrame, mappings: Mappings, hot: Sequence[int] = (),
+                      keep: Mapping[str, Column] | None = None) -> DataFrame:
+    """Enriched payments of the enriched orders. `hot`: hot order ids of `raw`, see `hot_keys`; `keep`: raw columns."""
     c = F.col
     payments = raw.select(
         "uniqueOrderId", "paymentType", "paymentTypeSplit", "paymentCardNo", "paymentCurrency", "nonCashPaymentType",
         "authorisedBy", "authorisedByID", "cashier", "cashierID", "grossSalesAD", "numberOfVouchers",
         *_derived(storedCredit=c("creditedTo"), accountingDate=display_date(c("accountingDay")),
-                  exchangeRateAED=c("paymentExchangeRateAED"), VAT=c("VATByBillAmount"), netSales=c("netSalesAD")))
+                  exchangeRateAED=c("paymentExchangeRateAED"), VAT=c("VATByBillAmount"), netSales=c("netSalesAD"), **(keep or {})))
     orders = _open_orders(header, mappings, "paymentTransformed", "storeNo", "receiptNo", "RefinedOrderSource")
     return join_on_keys(payments, orders, ["uniqueOrderId"], "inner", hot).withColumns({
         "creditedTo": credited_to(c("storedCredit"), c("paymentType"), c("RefinedOrderSource")),
         **base_currency(PAYMENT_MONEY, c("factor")),
-    }).select(*ENRICHED_PAYMENT_COLUMNS)
+    }).select(*ENRICHED_PAYMENT_COLUMNS, *(keep or ()))
 
 
-def transform_sales(raw: DataFrame, header: DataFrame, mappings: Mappings, hot: Sequence[int] = ()) -> DataFrame:
-    """Enriched sales lines that are not deleted. `hot`: hot order ids of `raw`, see `hot_keys`."""
+def transform_sales(raw: DataFrame, header: DataFrame, mappings: Mappings, hot: Sequence[int] = (),
+                    keep: Mapping[str, Column] | None = None) -> DataFrame:
+    """Enriched sales lines that are not deleted. `hot`: hot order ids of `raw`, see `hot_keys`; `keep`: raw columns."""
     c = F.col
     lines = raw.filter(c("itemDeleted") == NOT_DELETED).withColumns({
         "accountingDate": display_date(c("accountingDay")),
@@ -140,10 +151,11 @@ def transform_sales(raw: DataFrame, header: DataFrame, mappings: Mappings, hot:
         "effectiveDiscount": c("grossSalesBD") - c("grossSalesAD"),
         "VAT": c("VATByBillAmount"),
         "netSales": c("netSalesAD"),
+        **(keep or {}),
     }).drop("store")
     orders = _open_orders(header, mappings, "salesTransformed", "storeNo", "brand")
     joined = join_on_keys(lines, orders, ["uniqueOrderId"], "inner", hot)
-    return joined.withColumns(base_currency(SALES_MONEY, c("factor"))).select(*ENRICHED_SALES_COLUMNS)
+    return joined.withColumns(base_currency(SALES_MONEY, c("factor"))).select(*ENRICHED_SALES_COLUMNS, *(keep or ()))
 
 
 def unmapped_headers(raw: DataFrame, mappings: Mappings, full_refresh: bool = False) -> DataFrame:

@@ -8,6 +8,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Adaptive execution merges small partitions but adds none, so start from many: at the default of 200, a 100 TB
+    # shuffle has 500 GB a partition. Give a session about one for 256 MB of its largest shuffle.
+    "spark.sql.shuffle.partitions": "2000",
     # Lets a hot key be split even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

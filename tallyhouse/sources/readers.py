@@ -2,33 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions.columns import blank_nulls
+from tallyhouse.functions.columns import blank_nulls, named
 from tallyhouse.schemas import CURRENCY_FIELDS, STORE_MASTER
 
 
+_BROKEN = "_broken"
+
+
 def envelope_schema(rows: T.StructType) -> T.StructType:
-    """Schema of a report answer; its totals are not read."""
+    """Schema of a report answer; its totals are not read. A document that does not parse is kept as text."""
     return T.StructType([
         T.StructField("error", T.BooleanType()),
         T.StructField("result", T.StructType([T.StructField("rawData", T.ArrayType(rows))])),
+        T.StructField(_BROKEN, T.StringType()),
     ])
 
 
-def envelope_rows(envelopes: DataFrame) -> DataFrame:
-    """One row per element of `result.rawData`; envelopes in error and empty ones give none."""
-    return envelopes.filter(~F.col("error")).select(F.explode("result.rawData").alias("row")).select("row.*")
+class Envelopes(NamedTuple):
+    """Rows of the answers, and answers that gave none because they are `broken`, in `error` or say `neither`."""
 
+    rows: DataFrame
+    rejects: DataFrame
 
-def read_envelopes(spark: SparkSession, path: str | Sequence[str], rows: T.StructType, one_per_line: bool = False) -> DataFrame:
-    """Report answers under `path`: one document per file, or one per line."""
+
+def split_envelopes(envelopes: DataFrame) -> Envelopes:
+    """One row per element of `result.rawData`, and the rejected answers with their file and reason."""
+    reason = (F.when(F.col(_BROKEN).isNotNull(), "broken").when(F.col("error").isNull(), "neither").when(F.col("error"), "error"))
+    good = envelopes.filter(reason.isNull())
+    rejects = envelopes.filter(reason.isNotNull()).select(
+        F.element_at(F.split(F.col("_file"), "/"), -1).alias("file"), reason.alias("reason"), F.col(_BROKEN).alias("text"))
+    return Envelopes(good.select(F.explode("result.rawData").alias("row")).select("row.*"), rejects)
+
+
+def scan_envelopes(spark: SparkSession, path: str | Sequence[str], rows: T.StructType, one_per_line: bool = False) -> Envelopes:
+    """Report answers under `path`, one document per file or one per line, with the rejected ones beside the rows."""
     paths = path if isinstance(path, str) else list(path)
-    return envelope_rows(spark.read.schema(envelope_schema(rows)).json(paths, multiLine=not one_per_line))
+    read = spark.read.schema(envelope_schema(rows)).option("columnNameOfCorruptRecord", _BROKEN).option("mode", "PERMISSIVE")
+    return split_envelopes(read.json(paths, multiLine=not one_per_line).withColumn("_file", F.col("_metadata.file_path")))
+
+
+def read_envelopes(spark: SparkSession, path: str | Sequence[str], rows: T.StructType, one_per_line: bool = False) -> DataFrame:
+    """The rows of report answers. Take `scan_envelopes` to see which answers gave none."""
+    return scan_envelopes(spark, path, rows, one_per_line).rows
 
 
 def read_store_master(spark: SparkSession, path: str, schema: T.StructType = STORE_MASTER) -> DataFrame:
@@ -36,9 +59,33 @@ def read_store_master(spark: SparkSession, path: str, schema: T.StructType = STO
     return spark.read.schema(schema).csv(path, header=True)
 
 
+# How this library writes and reads CSV: text comes back as it was, with its padding, quotes and backslashes. Line
+# breaks and backslashes inside text are written as escapes, so that files stay splittable.
+CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def escape_lines(df: DataFrame) -> DataFrame:
+    """Text columns with backslash, line feed and carriage return as two characters each."""
+    def escaped(c: Column) -> Column:
+        return F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+    return df.select(*[escaped(named(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else named(f.name) for f in df.schema])
+
+
+def unescape_lines(df: DataFrame) -> DataFrame:
+    """The reverse of `escape_lines`."""
+    def plain(c: Column) -> Column:
+        # An escaped backslash is set aside first, so that it does not escape what follows it.
+        aside = F.lit("\u0000")
+        c = F.replace(F.replace(F.replace(c, F.lit("\\\\"), aside), F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+        return F.replace(c, aside, F.lit("\\"))
+
+    return df.select(*[plain(named(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else named(f.name) for f in df.schema])
+
+
 def read_text_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV rows this library wrote. The format has no null text, so empty text is read for both."""
-    return blank_nulls(spark.read.schema(schema).csv(path, header=True))
+    return blank_nulls(unescape_lines(spark.read.schema(schema).options(**CSV).csv(path)))
 
 
 def read_currency_sheet(spark: SparkSession, path: str) -> DataFrame:
@@ -57,20 +104,14 @@ def query_table(spark: SparkSession, table: DataFrame, sql: str, **values) -> Da
     return spark.sql(sql, args=values, table=table)
 
 
-def require_unique(dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The mapping, checked: a repeated key would multiply the rows it is joined to, so it is an error."""
-    repeats = dimension.groupBy(*keys).count().filter("count > 1")
-    first = repeats.first()
-    if first is not None:
-        raise ValueError(f"mapping key {[first[k] for k in keys]} occurs {first['count']} times")
-    return dimension
+def require_unique(dimensions: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Check mappings, given as (rows, key) by name, in one job: a repeated key is an error."""
+    repeats = [rows.groupBy(*keys).count().filter("count > 1").agg(F.count(F.lit(1)).alias("keys"), F.first(F.concat_ws(", ", *keys)).alias("one"))
+               .select(F.lit(name).alias("name"), "keys", "one") for name, (rows, keys) in dimensions.items()]
+    for row in reduce(DataFrame.unionAll, repeats).collect():
+        if row["keys"]:
+            raise ValueError(f"mapping {row['name']}: {row['keys']} keys occur more than once, such as {row['one']!r}")
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
-
-
-def first_stores(stores: DataFrame, count: int) -> DataFrame:
-    """The first stores of a trial run, by id and then by the other columns."""
-    rest = [name for name in stores.columns if name != "StoreId"]
-    return stores.orderBy("StoreId", *rest).limit(count)

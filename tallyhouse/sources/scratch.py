@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_OWN: dict[str, str] = {}
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder the session names in `spark.checkpoint.dir`.
 
-    A local session that names none gets a temporary folder; a cluster session that names none is an error.
+    A cluster session that names none is an error. A local one, where driver and tasks are one process, gets a folder
+    of its own, the same for its lifetime, below the one in `TALLYHOUSE_SCRATCH` or else the temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _OWN.get(spark.sparkContext.applicationId)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tallyhouse-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _OWN[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="tallyhouse-", dir=os.environ.get("TALLYHOUSE_SCRATCH"))
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

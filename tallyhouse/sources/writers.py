@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.operators.joins import join_dimension, small_sides
+from tallyhouse.sources.readers import CSV, escape_lines
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -38,7 +39,7 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 
 def write_duplicates(duplicates: DataFrame, path: str) -> None:
-    duplicates.write.mode("errorifexists").option("header", True).csv(path)
+    escape_lines(duplicates).write.mode("errorifexists").options(**CSV).csv(path)
 
 
 def named_extracts(rows: DataFrame, stores: DataFrame, first: date, last: date, prefix: str = "PaymentEntry",
@@ -58,5 +59,6 @@ def write_extracts(extracts: DataFrame, path: str, form: str) -> None:
     """Write extract rows as `csv` or `json` files, one directory per folder and extract."""
     if form not in ("csv", "json"):
         raise ValueError(f"extract form {form!r}")
-    writer = extracts.hint("rebalance", "Folder", "Extract").write.mode("errorifexists").partitionBy("Folder", "Extract")
-    writer.option("header", True).csv(path) if form == "csv" else writer.json(path)
+    rows = escape_lines(extracts) if form == "csv" else extracts
+    writer = rows.hint("rebalance", "Folder", "Extract").write.mode("errorifexists").partitionBy("Folder", "Extract")
+    writer.options(**CSV).csv(path) if form == "csv" else writer.json(path)

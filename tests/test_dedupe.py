@@ -11,21 +11,17 @@ def tables(spark):
     return batch, stored
 
 
-@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
-def test_new_and_stored_rows_split_the_batch(tables, max_bytes):
+def test_new_and_stored_rows_split_the_batch(tables):
     batch, stored = tables
-    new = rows(new_rows(batch, stored, "k", max_bytes=max_bytes))
-    old = rows(stored_rows(batch, stored, "k", max_bytes=max_bytes))
+    new = rows(new_rows(batch, stored, "k"))
+    old = rows(stored_rows(batch, stored, "k"))
     assert ordered(new + old) == rows(batch)
     assert old == [("a", 1), ("a", 2), ("c", 4)]
 
 
-@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
-def test_duplicates_count_stored_copies(tables, max_bytes):
+def test_duplicates_count_stored_copies(tables):
     batch, stored = tables
-    assert rows(find_duplicates(batch, stored, "k", max_bytes=max_bytes)) == [("a", 1, 3), ("a", 2, 3), ("c", 4, 1)]
-    repeated = find_duplicates(batch, stored, "k", repeat=True, max_bytes=max_bytes)
-    assert rows(repeated) == rows(batch.join(stored, ["k"], "inner"))
+    assert rows(find_duplicates(batch, stored, "k")) == [("a", 1, 3), ("a", 2, 3), ("c", 4, 1)]
 
 
 def test_two_keys(spark):

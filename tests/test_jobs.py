@@ -1,44 +1,82 @@
-from datetime import date
+from decimal import Decimal
 
+import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
-from tallyhouse.catalogue.queries import report_rows
-from tallyhouse.catalogue.standins import Tables
 from tallyhouse.plans.jobs import TABLES, Warehouse, enrich, load
-from tallyhouse.plans.transforms import transform_header, transform_payment, transform_sales
-
-FOLDER = "/root/testdata/sf0.001"
-FIRST, DAY, LAST = date(1997, 12, 22), date(1998, 1, 1), date(1998, 1, 12)
-
-
-def test_daily_runs_add_up_to_one_full_run(spark, tmp_path):
-    t = Tables(spark, FOLDER)
-    raw = t.raw_header().filter(F.col("accountingDay").between(F.lit(FIRST), F.lit(LAST)))
-    # A line and a payment land with the business day of their order.
-    days = raw.select("uniqueOrderId", "accountingDay", F.col("storeID").alias("StoreId"))
-    headers = report_rows(raw, schemas.HEADER_FIELDS).withColumn("StoreId", F.col("TableNum"))
-    lines = t.raw_sales().drop("accountingDay").join(days, "uniqueOrderId")
-    payments = t.raw_payment().drop("accountingDay").join(days, "uniqueOrderId")
-    mappings, warehouse = t.mappings(), Warehouse(spark, str(tmp_path))
-
-    def run(first, last):
-        span = F.col("accountingDay").between(F.lit(first), F.lit(last))
-        load(warehouse, headers.filter(F.to_date("`OpenDate.Typed`").between(F.lit(first), F.lit(last))),
-             report_rows(payments.filter(span), schemas.PAYMENT_FIELDS),
-             report_rows(lines.filter(span), schemas.SALES_FIELDS), F.col("StoreId"))
-        enrich(warehouse, mappings, since=first)
-        return {table: warehouse.read(table).count() for table in TABLES}
-
-    half = run(FIRST, DAY)
-    whole = run(DAY, LAST)
-    assert all(half[table] < whole[table] for table in TABLES)
-    assert run(DAY, LAST) == whole
-
-    header = transform_header(raw, mappings, full_refresh=True)
-    assert whole == {
-        "rawHeader": raw.count(), "rawPayment": payments.count(), "rawSales": lines.count(),
-        "transformHeader": header.count(),
-        "transformPayment": transform_payment(payments, header, mappings).count(),
-        "transformSales": transform_sales(lines, header, mappings).count()}
-    assert warehouse.read("transformHeader").select("fk_rawHeader").distinct().count() == whole["transformHeader"]
+from tallyhouse.plans.transforms import Mappings
+
+
+def report(spark, fields, answers):
+    kinds = ", ".join(f"`{field}` string" for field, _, _ in fields)
+    return spark.createDataFrame([tuple(a.get(field) for field, _, _ in fields) for a in answers], kinds)
+
+
+def headers(spark, *orders):
+    common = {"OrderDeleted": "NOT_DELETED", "Conception": "C", "Delivery.IsDelivery": "F", "OrderType": "Dine"}
+    return report(spark, schemas.HEADER_FIELDS, [
+        {**common, "UniqOrderId.Id": o, "Department": store, "OpenDate.Typed": day, "OrderNum": "1", "DishSumInt": "8"} for o, store, day in orders])
+
+
+def payments(spark, *paid):
+    return report(spark, schemas.PAYMENT_FIELDS, [
+        {"UniqOrderId.Id": o, "PayTypes": kind, "OpenDate.Typed": "2022-06-20", "DishDiscountSumInt": "4"} for o, kind in paid])
+
+
+def sales(spark, *sold):
+    return report(spark, schemas.SALES_FIELDS, [
+        {"UniqOrderId.Id": o, "DishName": dish, "DeletedWithWriteoff": "NOT_DELETED", "OpenDate.Typed": day} for o, dish, day in sold])
+
+
+def mappings(spark, *stores):
+    virtual = spark.createDataFrame([(s, "C", "n", "no", "v", "vn", "f", "R") for s in stores],
+                                    "storeName string, conceptionName string, conceptionNo string, storeNo string, virtualStoreNo string, "
+                                    "virtualStoreName string, financeStoreNo string, regionCode string")
+    return Mappings.measured(virtual, spark.createDataFrame([("F", "Y")], "deliveryName string, deliveryNo string"),
+                             spark.createDataFrame([("X", "Web")], "SourceKey string, RefinedOrderSource string"),
+                             spark.createDataFrame([("R", Decimal("2.5"))], "region string, factor decimal(18,8)"))
+
+
+def ids(warehouse, table, *columns):
+    return rows(warehouse.read(table).select(*columns))
+
+
+def test_late_unmapped_and_blank_rows_are_enriched_once(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    store = F.lit("9")
+    # The second order has no store mapping yet, the third no date that can be read.
+    first = (headers(spark, ("o1", "S", "2022-06-20"), ("o2", "T", "2022-06-20"), ("o3", "S", "soon")),
+             payments(spark, ("o1", "Card"), ("o2", "Card"), ("o1", None)), sales(spark, ("o1", "tea", "2022-06-20"), ("o2", "tea", "2022-06-19")))
+    load(warehouse, *first, store, "a")
+    enrich(warehouse, mappings(spark, "S"), "a")
+    assert ids(warehouse, "transformHeader", "uniqueOrderId") == [("o1",), ("o3",)]
+    assert ids(warehouse, "transformPayment", "uniqueOrderId", "paymentType") == [("o1", ""), ("o1", "Card")]
+    assert ids(warehouse, "unmappedHeader", "uniqueOrderId", "lacks", "run") == [("o2", "store", "a")]
+    # The same batch again changes nothing.
+    before = {table: warehouse.read(table).count() for table in TABLES if table != "unmappedHeader"}
+    load(warehouse, *first, store, "a")
+    enrich(warehouse, mappings(spark, "S"), "a again")
+    assert {table: warehouse.read(table).count() for table in before} == before
+    # A payment that comes late for an enriched order, an older day, and the mapping that was missing.
+    load(warehouse, headers(spark, ("o4", "S", "2022-06-01")), payments(spark, ("o1", "Voucher"), ("o1", "Card"), ("o4", "Card")),
+         sales(spark, ("o4", "cake", "2022-05-31")), store, "b")
+    enrich(warehouse, mappings(spark, "S", "T"), "b")
+    assert ids(warehouse, "transformHeader", "uniqueOrderId") == [("o1",), ("o2",), ("o3",), ("o4",)]
+    assert ids(warehouse, "transformPayment", "uniqueOrderId", "paymentType", "grossSalesAD_BC") == [
+        (o, p, Decimal("10.0000")) for o, p in (("o1", ""), ("o1", "Card"), ("o1", "Voucher"), ("o2", "Card"), ("o4", "Card"))]
+    assert ids(warehouse, "transformSales", "uniqueOrderId", "itemName", "businessMonth") == [
+        ("o1", "tea", "2022-06"), ("o2", "tea", "2022-06"), ("o4", "cake", "2022-05")]
+    enrich(warehouse, mappings(spark, "S", "T"), "c")
+    assert warehouse.read("transformPayment").count() == 5
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10])
+def test_hot_orders_change_no_row(spark, tmp_path, hot_rows):
+    warehouse = Warehouse(spark, str(tmp_path))
+    lines = sales(spark, *[("o1", f"d{i % 4}", "2022-06-20") for i in range(40)], ("o2", "x", "2022-06-20"))
+    load(warehouse, headers(spark, ("o1", "S", "2022-06-20"), ("o2", "S", "2022-06-20")), payments(spark, ("o1", "Card")), lines, F.lit("9"), "a", hot_rows)
+    enrich(warehouse, mappings(spark, "S"), "a", hot_rows=hot_rows)
+    assert warehouse.read("transformSales").count() == 41
+    assert warehouse.read("transformHeader").select("fk_rawHeader").distinct().count() == 2

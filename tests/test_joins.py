@@ -16,17 +16,26 @@ def sides(spark):
 
 def test_hot_keys_finds_the_heavy_key_only(sides):
     facts, _ = sides
-    assert len(hot_keys(facts, ["k"], min_rows=1, share=0.2)) == 1
+    assert len(hot_keys(facts, ["k"], min_rows=100)) == 1
     assert hot_keys(facts, ["k"]) == ()
     assert hot_keys(facts.filter("n > 1000"), ["k"], min_rows=1) == ()
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
-def test_splitting_hot_keys_changes_no_row(sides, how, max_bytes):
+@pytest.mark.parametrize("salts", [1, 7])
+@pytest.mark.parametrize("min_rows", [1, 100])
+def test_salting_hot_keys_changes_no_row(sides, how, salts, min_rows):
     facts, other = sides
-    hot = hot_keys(facts, ["k"], min_rows=1, share=0.2)
-    assert rows(join_on_keys(facts, other, ["k"], how, hot, max_bytes)) == rows(facts.join(other, ["k"], how))
+    hot = hot_keys(facts, ["k"], min_rows=min_rows)
+    joined = join_on_keys(facts, other, ["k"], how, hot, salts)
+    plain = facts.join(other, ["k"], how)
+    assert joined.columns == plain.columns and rows(joined) == rows(plain)
+
+
+def test_a_salted_join_reads_each_side_once(sides, capsys):
+    facts, other = sides
+    join_on_keys(facts, other, ["k"], "inner", hot_keys(facts, ["k"], min_rows=100)).explain()
+    assert capsys.readouterr().out.count("Scan ExistingRDD") == 2
 
 
 @pytest.mark.parametrize("small", [True, False])

@@ -10,9 +10,10 @@ from tallyhouse import schemas
 from tallyhouse.plans.loads import (
     load_all_stores, load_currency, load_header, load_payment, load_payment_entry, load_sales, shape_header)
 from tallyhouse.sources.readers import (
-    empty, first_stores, query_table, read_currency_sheet, read_envelopes, read_store_master, read_table, require_unique)
+    empty, query_table, read_currency_sheet, read_envelopes, read_store_master, read_table, read_text_rows, require_unique,
+    scan_envelopes)
 from tallyhouse.sources.scratch import scratch_path
-from tallyhouse.sources.writers import append, conform, named_extracts, write_extracts, write_snapshot
+from tallyhouse.sources.writers import append, conform, named_extracts, write_duplicates, write_extracts, write_snapshot
 
 
 def envelope(fields, *answers, error=False):
@@ -37,6 +38,23 @@ def test_envelopes_in_error_or_empty_give_no_rows(header_rows):
     assert header_rows.columns == [field for field, _, _ in schemas.HEADER_FIELDS]
 
 
+def test_broken_answers_are_kept_as_rejects(spark, tmp_path):
+    fields = schemas.PAYMENT_ENTRY_FIELDS
+    good = envelope(fields, {"OrderNum": 1})
+    for name, text in (("a", good), ("b", good[:30]), ("c", envelope(fields, error=True)), ("d", good.replace('"error"', '"fault"'))):
+        (tmp_path / f"{name}.json").write_text(text)
+    scanned = scan_envelopes(spark, str(tmp_path), schemas.report_rows(fields))
+    assert scanned.rows.count() == 1
+    assert rows(scanned.rejects.select("file", "reason")) == [("b.json", "broken"), ("c.json", "error"), ("d.json", "neither")]
+
+
+def test_text_survives_the_csv_sink(spark, tmp_path):
+    texts = ["  pad ", "a\nb", "c\r\nd", 'say "hi", twice', "back\\slash \\n", "", "\t", '"', "\\"]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "i int, t string, n string")
+    write_duplicates(df, str(tmp_path / "out"))
+    assert rows(read_text_rows(spark, str(tmp_path / "out"), df.schema)) == rows(df.fillna(""))
+
+
 def test_header_load(spark, header_rows):
     stored = empty(spark, schemas.RAW_HEADER)
     new = load_header(header_rows, stored, F.lit("4374"))
@@ -65,7 +83,9 @@ def test_payment_load_keys(spark):
     batch = report(spark, schemas.PAYMENT_FIELDS, *answers)
     new = load_payment(batch, empty(spark, schemas.RAW_PAYMENT))
     assert rows(new.select("uid", "paymentType")) == [("", ""), ("o1-Card", "Card")]
-    assert load_payment(batch, new).count() == 0
+    # A blank key is no key: such a row is never taken for one that is stored.
+    assert rows(load_payment(batch, new).select("uid")) == [("",)]
+    assert load_payment(batch, new, blank_is_new=False).count() == 0
 
 
 def test_sales_load_drops_the_whole_known_order(spark):
@@ -99,10 +119,9 @@ def test_store_master_with_byte_order_mark(spark, tmp_path):
     assert rows(read_store_master(spark, str(tmp_path / "v3.csv"))) == [("0437", "YO", "GG"), ("5454", "PX", "KF")]
     (tmp_path / "v2.csv").write_text("﻿StoreId,StoreCode,Concept,Folder\n1,A,x,F\n1,A,w,F\n2,B,x,G\n", encoding="utf-8")
     stores = read_store_master(spark, str(tmp_path / "v2.csv"), schemas.STORE_MASTER_CONCEPTS)
-    assert rows(first_stores(stores, 2)) == [("1", "A", "w", "F"), ("1", "A", "x", "F")]
-    with pytest.raises(ValueError):
-        require_unique(stores, ["StoreId"])
-    require_unique(stores, ["StoreId", "Concept"])
+    with pytest.raises(ValueError, match="stores"):
+        require_unique({"stores": (stores, ["StoreId"])})
+    require_unique({"stores": (stores, ["StoreId", "Concept"])})
 
 
 def test_currency_sheet(spark, tmp_path):

@@ -1,7 +1,7 @@
 import pytest
 from conftest import rows
 
-from tallyhouse.operators.metrics import counted, load_metrics
+from tallyhouse.operators.metrics import counted, load_metrics, misfits
 from tallyhouse.operators.progress import mark_done, mark_fetched, not_done, pending
 
 
@@ -39,3 +39,9 @@ def test_metrics(spark, header):
     df, observation = counted(header, "batch")
     df.write.format("noop").mode("overwrite").save()
     assert observation.get["rows"] == 3
+
+
+def test_misfits_are_counted_by_field(spark):
+    df = spark.createDataFrame([("1", "2022-06-20"), ("x", "soon"), (None, "later")], "`a.b` string, day string")
+    fields = [("a.b", "n", "bigint"), ("day", "day", "date")]
+    assert rows(misfits(df, fields)) == [("a.b", 1), ("day", 2)]

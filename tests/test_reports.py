@@ -92,3 +92,21 @@ def test_report_sizes():
     assert sizes == {
         "HEADER": (30, 21), "PAYMENT": (16, 4), "SALES": (28, 18), "HEADER_TEMPLATE": (30, 12), "SALES_TEMPLATE": (28, 14),
         "OLDER_PAYMENT": (11, 1), "OLDER_SALES": (10, 6), "NAMED_SALES": (11, 5)}
+
+
+def test_last_print_time_comes_back_as_it_was_sent(spark):
+    lines = spark.createDataFrame([
+        ("time only", "12:30:00"), ("time only", "09:00:00"), ("fraction", "2022-06-20T10:00:00.500"), ("fraction", "2022-06-20T10:00:00.4999"),
+        ("offset", "2022-06-20T10:00:00+04:00"), ("offset", "2022-06-20T07:00:00Z"), ("odd", "late"), ("odd", None), ("none", None)],
+        "Department string, DishServicePrintTime string")
+    spec = ReportSpec(("Department",), ("DishServicePrintTime.Max",))
+    assert rows(olap_report(lines, spec)) == [
+        ("fraction", "2022-06-20T10:00:00.500"), ("none", None), ("odd", "late"), ("offset", "2022-06-20T07:00:00Z"), ("time only", "12:30:00")]
+
+
+@pytest.mark.parametrize("change", [{"calculatedFields": ["x"]}, {"stackByDataFields": True},
+                                    {"filters": [{"field": "a", "filterType": "value_list", "valueList": [], "valueMin": 1}]},
+                                    {"filters": [{"field": "a", "filterType": "date_range", "dateFrom": "2022-06-20T10:00:00", "dateTo": "2022-06-21T00:00:00"}]}])
+def test_requests_that_cannot_be_honoured_are_refused(change):
+    with pytest.raises(ValueError):
+        ReportSpec.from_request(json.dumps({"groupFields": ["a"], "dataFields": ["DishSumInt"], **change}))

@@ -68,15 +68,11 @@ def test_full_refresh_and_rejects(raw, mappings):
         ("no delivery", "delivery"), ("no factor", "currency"), ("no store", "store")]
 
 
-def test_limit_counts_orders_that_are_dropped_later(raw, mappings):
-    # First by id among the open, live orders: call centre, mapped, no delivery.
-    assert [r[0] for r in rows(transform_header(raw, mappings, limit=3).select("uniqueOrderId"))] == ["call centre", "mapped"]
-
-
-def test_repeated_mapping_rows_multiply(spark, raw):
+def test_repeated_mapping_keys_are_refused(spark):
     tables = mapping_tables(spark)
     tables["delivery"] = tables["delivery"].unionAll(tables["delivery"])
-    assert transform_header(raw, Mappings.measured(**tables)).count() == 10
+    with pytest.raises(ValueError, match="delivery"):
+        Mappings.measured(**tables)
 
 
 def test_payments_and_sales(spark, raw, mappings):
