@@ -19,7 +19,7 @@ from tallyhouse.operators.reports import DateRange, ReportSpec, ValueList, olap_
 from tallyhouse.operators.windows import (
     backfill_windows, custom_dates, high_water_marks, pending_window, previous_day)
 from tallyhouse.plans import report_specs
-from tallyhouse.plans.jobs import TABLES, Warehouse, enrich, load
+from tallyhouse.plans.jobs import Warehouse, enrich, load
 from tallyhouse.plans.loads import (
     StoresLoad, load_all_tables, load_currency, load_header, load_payment, load_payment_entry, load_sales, shape_header,
     shape_payment_entry)
