@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +47,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterat
     """The rows again, in pieces whose text column holds about `limit` bytes; a longer text is a piece of its own."""
     for batch in batches:
         start, size = 0, 0
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         for i, n in enumerate(lengths):
             if size and size + n > limit:
                 yield batch.slice(start, i - start)
