@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 # Labels of rows in this fold are never read for training.
 FOLDS, HELD_OUT = 3, 1
 # Labelled rows the model is fitted to; those with the smallest id hashes.
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 5_000
 LEXICONS = 24
 LEXICON_WORDS = 240
 MAX_FEATURES = 150_000
