@@ -136,7 +136,7 @@ def _scan(spec: Windows):
 
 def _settle(spec: Windows):
     """Over rows sorted by anchor, stretch, key and place."""
-    def settled(rows: list[np.ndarray], hot_anchor: int | None) -> Iterator[pa.RecordBatch]:
+    def settled(rows: list[np.ndarray], hot_anchors: Sequence[int]) -> Iterator[pa.RecordBatch]:
         anchor, stretch, key, first, windows, copies = rows
         done = copies == 0
         yield from _batches(_VERDICT, [x[done] for x in (anchor, key, first, windows, copies)] + [np.full(int(done.sum()), WHOLE)])
@@ -149,7 +149,7 @@ def _settle(spec: Windows):
         total = np.add.reduceat(copies, at)
         group = np.cumsum(new_anchor)[at] - 1
         stretches = np.bincount(group)[group]
-        hot = (stretches > spec.hot) | (anchor[at] == hot_anchor if hot_anchor is not None else False)
+        hot = (stretches > spec.hot) | np.isin(anchor[at], np.array(hot_anchors, np.int64))
         # Repeats: all places but the first of a stretch, or all places if its first one is no exception.
         whole = ~new if spec.spare_first else (total > 1)[np.cumsum(new) - 1]
         yield from _batches(_VERDICT, [x[whole] for x in (anchor, key, first, windows, copies)] + [np.full(int(whole.sum()), WHOLE)])
@@ -159,7 +159,7 @@ def _settle(spec: Windows):
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry: list[np.ndarray] | None = None
-        hot_anchor = None
+        hot: list[int] = []
         for batch in batches:
             rows = [c.to_numpy() for c in batch.columns]
             if not len(rows[0]):
@@ -172,15 +172,16 @@ def _settle(spec: Windows):
                 # Too many places of one anchor to hold: go on from its last stretch, window by window.
                 tail = np.flatnonzero(stretch[cut:] != stretch[-1])
                 if len(tail):
+                    # The last rows of the hot anchor before this one may be among these.
                     next_hot, cut = int(anchor[-1]), cut + int(tail[-1]) + 1
-                    yield from settled([x[:cut] for x in rows], next_hot)
-                    hot_anchor, carry = next_hot, [x[cut:] for x in rows]
+                    yield from settled([x[:cut] for x in rows], [*hot, next_hot])
+                    hot, carry = [next_hot], [x[cut:] for x in rows]
                     continue
             if cut:
-                yield from settled([x[:cut] for x in rows], hot_anchor)
+                yield from settled([x[:cut] for x in rows], hot)
             carry = [x[cut:] for x in rows]
         if carry is not None:
-            yield from settled(carry, hot_anchor)
+            yield from settled(carry, hot)
     return settle
 
 

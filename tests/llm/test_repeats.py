@@ -2,10 +2,11 @@ import random
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from llm_helpers import ODD, TEXT
 
-from tallyhouse.llm import bytespans, passages
+from tallyhouse.llm import bytespans, passages, repeats
 from tallyhouse.llm.repeats import Piece
 from tallyhouse.llm.suffixes import sorted_suffixes
 
@@ -61,3 +62,14 @@ def test_suffixes_are_sorted_and_prefixes_counted(queue_bytes):
         for k in range(1, len(order)):
             shared = next((n for n, (x, y) in enumerate(zip(keys[k - 1], keys[k])) if x != y), min(len(keys[k - 1]), len(keys[k])))
             assert common[k] == shared
+
+
+@pytest.mark.parametrize("size", [5, 10, 11, 12, 40])
+def test_neighbouring_hot_anchors_stay_hot_across_batches(size):
+    spec = repeats.Windows(repeats.Bytes, 20, 8, spare_first=True, hot=1)
+    rows = [(anchor, stretch, 10 * stretch, 0, 3, 1) for anchor in (1, 2, 3) for stretch in range(11)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at:at + size]), repeats._ANCHOR)], schema=repeats._ANCHOR)
+               for at in range(0, len(rows), size)]
+    got = [r for b in repeats._settle(spec)(iter(batches)) for r in b.to_pylist()]
+    assert len(got) == len(rows)
+    assert {r["verdict"] for r in got} == {repeats.SINGLES}
