@@ -25,22 +25,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+def keyed(df: DataFrame, id_col: str, text_col: str, others: str | None = None) -> tuple[DataFrame, bool]:
     """Columns `_row` (a distinct long per row), `id_col` and `text_col`; and whether the rows were numbered anew.
 
     The key is the id itself where ids are whole numbers, present and distinct. Else rows are numbered by id and text,
     nulls first, and kept as a table, so that every row, also a repeated one, is a document of its own and equal ids
-    are ordered by text. Only ids are read to find out.
+    are ordered by text. Only ids are read to find out. With `others`, the other columns come along as a struct of that
+    name, if there are any.
     """
-    rows = df.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col))
+    carried = [c for c in df.columns if c not in (id_col, text_col)] if others else []
+    names = [id_col, text_col, *([others] if carried else [])]
+    rows = df.select(id_col, text_col, *([F.struct(*(df[f"`{c}`"] for c in carried)).alias(others)] if carried else []))
     if dict(rows.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint"):
         odd = rows.groupBy(id_col).count().filter((F.col("count") > 1) | F.col(id_col).isNull())
         if odd.isEmpty():
-            return rows.select(F.col(id_col).cast("bigint").alias(KEY), id_col, text_col), False
+            return rows.select(F.col(id_col).cast("bigint").alias(KEY), *names), False
     # The range exchange splits by id and text, so one hot id is spread as far as its texts differ.
     ordered = rows.repartitionByRange(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
     ordered = ordered.sortWithinPartitions(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
-    return written(ordered.select(F.monotonically_increasing_id().alias(KEY), id_col, text_col), "keyed"), True
+    return written(ordered.select(F.monotonically_increasing_id().alias(KEY), *names), "keyed"), True
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
