@@ -5,9 +5,10 @@
 2. Anchors are dealt out by hash and sorted; a stream over each partition settles what needs no text: anchors that
    stand once, and stretches that repeat whole.
 3. Where an anchor stands in different stretches, one of each is fetched from its document and sent to the anchor's
-   shard. An anchor with very many stretches sends single windows instead, dealt by the window's own hash, so no shard
-   grows with the corpus.
-4. Each shard compares the units of its stretches. How is the operator's own business.
+   shard. An anchor with very many stretches sends single windows instead, told apart by two hashes and dealt by one of
+   them. Equal ones are folded in the task first, as stretches are, so a window costs each task one row.
+4. Each shard compares the units of its stretches. How is the operator's own business. Rows of single windows are merged
+   in a stream and not held, so no shard grows with the corpus.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from tallyhouse.llm.common import KEY, written
 FOLD_ROWS = 400_000
 # An anchor with more stretches than this is settled window by window.
 HOT_STRETCHES = 2_000
+_BY_DOCUMENT = 0x5851F42D4C957F2D
 _SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)
 
 WHOLE, STRETCH, SINGLES = 1, 2, 3
@@ -84,8 +87,8 @@ _ANCHOR = pa.schema([("anchor", pa.int64()), ("stretch", pa.int64()), (KEY, pa.i
 _ANCHOR_SQL = f"anchor long, stretch long, {KEY} long, first long, windows int, copies int"
 _VERDICT = pa.schema([("anchor", pa.int64()), (KEY, pa.int64()), ("first", pa.int64()), ("windows", pa.int32()), ("copies", pa.int32()), ("verdict", pa.int8())])
 _VERDICT_SQL = f"anchor long, {KEY} long, first long, windows int, copies int, verdict byte"
-_PIECE = pa.schema([("shard", pa.int64()), (KEY, pa.int64()), ("first", pa.int64()), ("windows", pa.int32()), ("copies", pa.int32()), ("data", pa.binary())])
-_PIECE_SQL = f"shard long, {KEY} long, first long, windows int, copies int, data binary"
+_PIECE = pa.schema([("shard", pa.int64()), ("mark", pa.int64()), (KEY, pa.int64()), ("first", pa.int64()), ("windows", pa.int32()), ("copies", pa.int32()), ("data", pa.binary())])
+_PIECE_SQL = f"shard long, mark long, {KEY} long, first long, windows int, copies int, data binary"
 _REPEAT = pa.schema([(KEY, pa.int64()), ("first", pa.int64()), ("windows", pa.int32())])
 _REPEAT_SQL = f"{KEY} long, first long, windows int"
 _BATCH = 50_000
@@ -113,7 +116,7 @@ def _folded(held: list[tuple[int, Found]], spec: Windows) -> Iterator[pa.RecordB
     lone = np.zeros(len(order), np.int64)
     lone[head] = copies
     # A place that is not the first here repeats it for certain; it is dealt by document, not to the hot anchor.
-    route = np.where(head, anchor, keys * np.int64(0x5851F42D4C957F2D))
+    route = np.where(head, anchor, keys * np.int64(_BY_DOCUMENT))
     yield from _batches(_ANCHOR, [route, stretch, keys, first, windows, lone])
 
 
@@ -185,37 +188,101 @@ def _settle(spec: Windows):
     return settle
 
 
+class _Singles:
+    """Single windows of hot anchors: hashes, place and copies; folded in the task before they are dealt out."""
+
+    def __init__(self):
+        self._parts: list[tuple[np.ndarray, ...]] = []
+        self._held = 0
+
+    def add(self, key: int, places: np.ndarray, shard: np.ndarray, mark: np.ndarray, copies: int) -> None:
+        self._parts.append((shard, mark, np.full(len(places), key, np.int64), places, np.full(len(places), copies, np.int64)))
+        self._held += len(places)
+
+    def full(self) -> bool:
+        return self._held >= FOLD_ROWS
+
+    def folded(self) -> Iterator[pa.RecordBatch]:
+        """One row per window with its first place here and all its copies; the other places as settled runs."""
+        if not self._held:
+            return
+        shard, mark, key, place, copies = (np.concatenate(x) for x in zip(*self._parts))
+        self._parts, self._held = [], 0
+        order = np.lexsort((place, key, mark, shard))
+        shard, mark, key, place, copies = (x[order] for x in (shard, mark, key, place, copies))
+        head = np.append(True, (shard[1:] != shard[:-1]) | (mark[1:] != mark[:-1]))
+        at = np.flatnonzero(head)
+        yield from _window_rows(shard[at], mark[at], key[at], place[at], np.ones(len(at), np.int64), np.add.reduceat(copies, at))
+        # A place that is not the first here repeats it for certain; it is dealt by document, as in `_folded`.
+        key, place = key[~head], place[~head]
+        order = np.lexsort((place, key))
+        key, place = key[order], place[order]
+        start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1] + 1))) if len(key) else np.zeros(0, np.int64)
+        key, runs, zero = key[start], np.diff(np.append(start, len(place))), np.zeros(len(start), np.int64)
+        yield from _window_rows(key * np.int64(_BY_DOCUMENT), zero, key, place[start], runs, zero)
+
+
+def _window_rows(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), _BATCH):
+        own = [pa.array(c[at:at + _BATCH].astype(f.type.to_pandas_dtype())) for c, f in zip(columns, _PIECE)]
+        yield pa.RecordBatch.from_arrays([*own, pa.nulls(len(own[0]), pa.binary())], schema=_PIECE)
+
+
 def _fetch(spec: Windows):
-    """Input: key, id, text, and the list of (anchor, first, windows, copies, verdict) asked of this document."""
+    """Input: key, id, text, and the list of (anchor, first, windows, copies, verdict) asked of this document.
+
+    Stretches come with their units. Single windows come without: like stretches they are told apart by two hashes.
+    """
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        singles = _Singles()
         for batch in batches:
             out, size = [], 0
             for key, text, asked in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
                 if not asked:
                     continue
                 units = spec.units(text.as_py() or b"")
-                rolling = None
+                rolling: list[Rolling] = []
                 for ask in asked:
                     first, n = ask["first"], ask["windows"]
                     if ask["verdict"] == STRETCH:
-                        out.append((ask["anchor"], key, first, n, ask["copies"], units.piece(first, first + n + spec.window - 1)))
-                        size += len(out[-1][-1])
-                        continue
-                    rolling = rolling or Rolling(units.marks[1], BASES[1])
-                    places = np.arange(first, first + n)
-                    for place, shard in zip(places.tolist(), _signed(rolling.runs(places, places + spec.window)).tolist()):
-                        out.append((shard, key, place, 1, ask["copies"], units.piece(place, place + spec.window)))
+                        out.append((ask["anchor"], None, key, first, n, ask["copies"], units.piece(first, first + n + spec.window - 1)))
                         size += len(out[-1][-1])
+                    else:
+                        rolling = rolling or [Rolling(m, base) for m, base in zip(units.marks, BASES)]
+                        places = np.arange(first, first + n)
+                        mark, shard = (_signed(r.runs(places, places + spec.window)) for r in rolling)
+                        singles.add(key, places, shard, mark, ask["copies"])
+                        if singles.full():
+                            yield from singles.folded()
                     if size > 1 << 22:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PIECE)], schema=_PIECE)
                         out, size = [], 0
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PIECE)], schema=_PIECE)
+        yield from singles.folded()
     return fetch
 
 
-def _compare(compare: Compare, shard_bytes: int):
-    """Over pieces sorted by shard: whole shards are gathered up to `shard_bytes` and compared together."""
+def _merged(spare_first: bool, rows: list[np.ndarray], last: list[np.ndarray] | None, end: bool) -> tuple[Iterator[pa.RecordBatch], list[np.ndarray]]:
+    """Repeats among rows of single windows, sorted by hashes and place; and the last row, whose next one is not known yet.
+
+    `last` is what the call before gave: the columns of its last row, and whether the row before that was the same window.
+    """
+    shard, mark, key, first, copies = rows if last is None else (np.concatenate(x) for x in zip(last[:5], rows))
+    same = np.append(last is not None and last[5][0], (shard[1:] == shard[:-1]) & (mark[1:] == mark[:-1]))
+    repeated = same if spare_first else same | np.append(same[1:], False) | (copies > 1)
+    if not end:
+        repeated = repeated[:-1]
+    on = np.flatnonzero(repeated)
+    return _batches(_REPEAT, [key[on], first[on], np.ones(len(on), np.int64)]), [x[-1:] for x in (shard, mark, key, first, copies, same)]
+
+
+def _compare(spec: Windows, compare: Compare, shard_bytes: int):
+    """Over rows sorted by shard, mark, key and place.
+
+    Pieces: whole shards are gathered up to `shard_bytes` and compared together. Single windows are a stream, of which
+    one row is held, however many rows a window has.
+    """
     def answer(held: list[Piece]) -> Iterator[pa.RecordBatch]:
         keys, firsts, sizes = [], [], []
         for piece, repeated in zip(held, compare(held)):
@@ -229,16 +296,28 @@ def _compare(compare: Compare, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Piece] = []
         size, shard = 0, None
+        last: list[np.ndarray] | None = None
         for batch in batches:
-            for own, *rest, data in zip(*(c.to_pylist() for c in batch.columns)):
+            whole = batch.column(6).is_null()
+            settled = pc.and_(whole, pc.equal(batch.column(5), 0))
+            done = batch.filter(settled)
+            yield from _batches(_REPEAT, [done.column(k).to_numpy() for k in (2, 3, 4)])
+            singles = batch.filter(pc.and_not(whole, settled))
+            if singles.num_rows:
+                found, last = _merged(spec.spare_first, [singles.column(k).to_numpy() for k in (0, 1, 2, 3, 5)], last, False)
+                yield from found
+            pieces = batch.filter(pc.invert(whole))
+            for own, _, key, first, windows, copies, data in zip(*(c.to_pylist() for c in pieces.columns)):
                 if own != shard and size >= shard_bytes:
                     yield from answer(held)
                     held, size = [], 0
                 shard = own
-                held.append(Piece(data, rest[0], rest[1], rest[2], rest[3]))
+                held.append(Piece(data, key, first, windows, copies))
                 size += len(data)
         if held:
             yield from answer(held)
+        if last is not None:
+            yield from _merged(spec.spare_first, [x[:0] for x in last[:5]], last, True)[0]
     return run
 
 
@@ -254,7 +333,7 @@ def repeated_windows(rows: DataFrame, id_col: str, text_col: str, spec: Windows,
     asked = verdicts.filter(F.col("verdict") != WHOLE).groupBy(KEY).agg(
         F.collect_list(F.struct("anchor", "first", "windows", "copies", "verdict")).alias("_asked"))
     pieces = texts.join(asked, KEY, "left").mapInArrow(_fetch(spec), _PIECE_SQL)
-    repeats = pieces.repartition("shard").sortWithinPartitions("shard", KEY, "first").mapInArrow(_compare(compare, shard_bytes), _REPEAT_SQL)
+    repeats = pieces.repartition("shard").sortWithinPartitions("shard", "mark", KEY, "first").mapInArrow(_compare(spec, compare, shard_bytes), _REPEAT_SQL)
     repeats = repeats.unionByName(verdicts.filter(F.col("verdict") == WHOLE).select(KEY, "first", "windows"))
     listed = repeats.groupBy(KEY).agg(F.collect_list(F.struct("first", "windows")).alias("_repeats"))
     return texts.join(listed, KEY, "left")
