@@ -184,10 +184,11 @@ def in_fold(id_col: str) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
-    """Texts of at most `rows` labelled ids that are not held out: `_id`, `_text`, `_label`.
+    """At most `rows` labelled texts that are not held out, one of each id: `_id`, `_text`, `_label`.
 
     Ids are drawn by hash below a bound that their number gives, so that no more ids than needed leave their task. An
-    id with several labels counts as toxic if any says so; rows without id or label are passed over.
+    id with several labels counts as toxic if any says so; rows without id or label are passed over. Of the rows of an id,
+    the text with the smallest hash is taken; each task sends one at most.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~in_fold(id_col)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_label"))
     known = known.withColumn("_draw", F.xxhash64("_id"))
@@ -197,7 +198,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, id_col: str, text_c
         known = known.filter(F.col("_draw") <= F.lit(min(bound, 2 ** 63 - 1)))
     drawn = known.orderBy("_draw", "_id").limit(rows).select("_id", "_label")
     texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return texts.join(F.broadcast(drawn), "_id")  # at most `rows` ids
+    of_ids = texts.join(F.broadcast(drawn), "_id").groupBy("_id", "_label").agg(F.min(F.struct(F.xxhash64("_text").alias("h"), "_text")).alias("_t"))
+    return of_ids.select("_id", "_t._text", "_label")
 
 
 _SEEN = "_id string, words string, styles array<int>, label int"

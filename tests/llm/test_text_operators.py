@@ -220,6 +220,16 @@ def test_toxicity_generalises_and_ignores_held_out_labels(spark, documents):
     assert {r.doc_id for r in kept.collect()} == {i for i in got if not got[i].predicted}
 
 
+def test_toxicity_sample_has_one_row_of_an_id(spark, documents):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT][:6]
+    rows = [(ids[0], f"text {k}") for k in range(50)] + [(ids[0], None)] + [(i, f"of {i}") for i in ids[1:]]
+    table = spark.createDataFrame([(i, int(i == ids[0])) for i in ids], "doc_id long, toxic int")
+    for bound in (100, 4):
+        got = toxicity.labelled_sample(documents(rows).repartition(3), table, "doc_id", "text", "toxic", bound).collect()
+        assert len(got) == len({r._id for r in got}) == min(bound, len(ids))
+        assert {(r._id, r._text) for r in got} <= set(rows)
+
+
 def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in toxicity.report(documents(ODD), none).collect()} == {0.0}
