@@ -34,7 +34,10 @@ _LN10 = math.log(10)
 BLOCK_BYTES = 24 << 20
 _LEAST_BLOCK = 2 << 20
 _FOLD_WORDS = 400_000
-_WHOLE = 16
+# A word of no more characters is summed without a scale.
+_SHORT = 16
+# Characters of a word whose edges are held at once.
+_PART = 4096
 STEPS = 2
 
 
@@ -95,13 +98,28 @@ class Lattice:
     def expected(self, word: bytes, times: float, into: dict[str, float]) -> None:
         """Add the expected number of uses of each piece, over all segmentations, `times` the word.
 
-        A word of more than `_WHOLE` characters is counted in parts of that length, which bounds the powers.
+        From the end, each position hands its share on to those that its last pieces start at, as the forward sums
+        divide it; so only ratios of sums of one scale are needed. Edges are held for a part of a long word at a time.
         """
         text = _START + word.decode("utf-8", "replace")
-        for at in range(0, len(text), _WHOLE):
-            self._expected(text[at:at + _WHOLE], times, into)
+        n = len(text)
+        if n <= _SHORT:
+            self._expected(text, times, into)
+            return
+        starts = [[1.0]]
+        for at in range(0, n - _PART, _PART):
+            starts.append(self._edges(text, at, at + _PART, starts[-1])[0])
+        share = [0.0] * n + [float(times)]
+        for at, before in zip(range((len(starts) - 1) * _PART, -1, -_PART), reversed(starts)):
+            _, edges, totals = self._edges(text, at, min(n, at + _PART), before)
+            for i, j, part, piece in reversed(edges):
+                part *= share[j] / totals[j - at - 1]
+                share[i] += part
+                for p in (piece,) if piece is not None else self._spelled(text[i])[1]:
+                    into[p] = into.get(p, 0.0) + part
 
     def _expected(self, text: str, times: float, into: dict[str, float]) -> None:
+        """`expected` of a word so short that its sums need no scale."""
         get, longest, n = self.weights.get, self.longest, len(text)
         forward, edges = [1.0] + [0.0] * n, []
         for j in range(1, n + 1):
@@ -124,6 +142,30 @@ class Lattice:
             for p in (piece,) if piece is not None else self._spelled(text[i])[1]:
                 into[p] = into.get(p, 0.0) + share
 
+    def _edges(self, text: str, at: int, end: int, before: list[float]) -> tuple[list[float], list[tuple], list[float]]:
+        """Forward sums from `at` on, given those up to it: the last ones, all edges with their part, and each sum in
+        the scale of its edges."""
+        get, longest = self.weights.get, self.longest
+        forward, off, edges, totals = list(before), at + 1 - len(before), [], []
+        for j in range(at + 1, end + 1):
+            total = 0.0
+            for i in range(j - longest if j > longest else 0, j):
+                weight = get(piece := text[i:j])
+                if weight is not None:
+                    part = forward[i - off] * weight
+                    total += part
+                    edges.append((i, j, part, piece))
+            if weight is None:
+                part = forward[j - 1 - off] * self._spelled(text[j - 1])[0]
+                total += part
+                edges.append((j - 1, j, part, None))
+            forward.append(total)
+            totals.append(total)
+            if total < 1e-100:
+                for k in range(max(len(forward) - longest - 1, 0), len(forward)):
+                    forward[k] *= 1e100
+        return forward[-longest:], edges, totals
+
 
 def fold(id_col: str, folds: int = FOLDS) -> Column:
     """Checksum remainder of an id's text form; a null id counts as empty text."""

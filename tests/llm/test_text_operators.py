@@ -173,6 +173,34 @@ def test_lattice_equals_all_segmentations():
     assert math.isclose(sum(len(p.encode()) * n for p, n in sums.items()), 3 * len("▁abab".encode()))
 
 
+@pytest.mark.parametrize("part", [4096, 5])
+def test_expectation_goes_over_whole_long_words(monkeypatch, part):
+    monkeypatch.setattr(lattice_lm, "_PART", part, raising=False)
+    weights = {"</s>": 0.1, "▁": 0.1, "▁a": 0.15, "a": 0.1, "b": 0.1, "ab": 0.2, "bab": 0.3, "▁ab": 0.2, "<0xC3>": 0.02, "<0xA9>": 0.03}
+    lattice = lattice_lm.Lattice(weights)
+
+    def every(text):
+        if not text:
+            yield 1.0, ()
+        for k in range(1, min(len(text), 3) + 1):
+            if text[:k] in weights:
+                yield from ((weights[text[:k]] * w, (text[:k], *rest)) for w, rest in every(text[k:]))
+
+    word, expected = "ab" * 9, {}
+    ways = list(every("▁" + word))
+    for w, pieces in ways:
+        for p in pieces:
+            expected[p] = expected.get(p, 0.0) + 3 * w / sum(x for x, _ in ways)
+    sums = {}
+    lattice.expected(word.encode(), 3, sums)
+    assert sums.keys() == expected.keys()
+    assert all(math.isclose(sums[p], n) for p, n in expected.items())
+    # No underflow, and letters without a piece are spelled.
+    sums = {}
+    lattice.expected("é".encode() * 9000 + b"ab", 2, sums)
+    assert math.isclose(sums["<0xC3>"], 18_000) and math.isclose(sums["<0xA9>"], 18_000)
+
+
 def test_language_model_report(documents):
     rows = [(k, f"{TEXT}{k} new{k % 7} words") for k in range(60)] + [(100, None), (101, ""), (102, "x" * 5000), (103, "漢字 " * 10)]
     got = {r.doc_id: r for r in lattice_lm.report(documents(rows), PIECES).collect()}
