@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import bpe, bytespans, decontaminate, fingerprint, lattice_lm, ngram_join, passages, pii, toxicity, warc
+from tallyhouse.llm import (
+    bpe, bytespans, decontaminate, fingerprint, lattice_lm, ngram_join, passages, pii, token_counts, toxicity, warc)
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +21,7 @@ def _query(name: str):
     return keep
 
 
-# The piece vocabulary of op7.
+# The piece vocabulary of op7 and op11.
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 # The rank file of op8; the operators take its path and pattern as parameters.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -75,3 +76,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_warc")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
+@_query("op11_token_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counts(table(spark, sf_dir, "documents"), PIECES)
