@@ -16,12 +16,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def ordered(tuples):
-    return sorted(tuples, key=lambda row: [(value is None, str(value)) for value in row])
-
-
-def rows(df):
-    """All rows as sorted tuples."""
-    return ordered(tuple(row) for row in df.collect())

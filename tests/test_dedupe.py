@@ -1,5 +1,5 @@
 import pytest
-from conftest import ordered, rows
+from row_helpers import ordered, rows
 
 from tallyhouse.operators.dedupe import find_duplicates, new_rows, stored_rows
 

@@ -1,8 +1,8 @@
 from decimal import Decimal
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
+from row_helpers import rows
 
 from tallyhouse import schemas
 from tallyhouse.plans.jobs import TABLES, Warehouse, enrich, load

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from row_helpers import rows
 
 from tallyhouse.operators.joins import hot_keys, join_dimension, join_on_keys, small_sides
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from row_helpers import rows
 
 from tallyhouse.operators.metrics import counted, load_metrics, misfits
 from tallyhouse.operators.progress import mark_done, mark_fetched, not_done, pending

@@ -3,7 +3,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from row_helpers import rows
 
 from tallyhouse.operators.reports import DateRange, ReportSpec, ValueList, olap_report
 from tallyhouse.plans import report_specs

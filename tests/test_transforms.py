@@ -2,8 +2,8 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
+from row_helpers import rows
 
 from tallyhouse import schemas
 from tallyhouse.plans.transforms import Mappings, transform_header, transform_payment, transform_sales, unmapped_headers

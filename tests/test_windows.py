@@ -1,8 +1,8 @@
 from datetime import date
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
+from row_helpers import rows
 
 from tallyhouse.operators.windows import (
     backfill_windows, custom_dates, high_water_marks, pending_window, previous_day, rows_to_backfill)
