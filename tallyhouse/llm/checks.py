@@ -10,6 +10,38 @@ def _item_words(text: str) -> str:
     return _ITEM_WORDS.format(_SMALL.format(f"coalesce({text}, '')"))
 
 
+def _finite(vector: str) -> str:
+    return f"({vector} IS NOT NULL AND coalesce(list_bool_and(list_transform({vector}, x -> coalesce(isfinite(x), false))), true))"
+
+
+def _whole(vector: str, scale: int) -> str:
+    return f"list_transform({vector}, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+def _clusters(rounds: int) -> str:
+    """Three rounds of k-means, one after the other."""
+    far = "list_sum(list_transform(range(1, 65), i -> (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    steps = [f"""
+        v AS (SELECT vec_id, {_whole("embedding", 64)} AS x FROM embeddings WHERE len(embedding) = 64 AND {_finite("embedding")}),
+        c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, x FROM v QUALIFY c < 16)"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+        a{n} AS (
+            SELECT vec_id, v.x, c.c, {far} AS d FROM v, c{n} c
+            QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c.c) = 1)""")
+        if n < rounds:
+            steps.append(f"""
+        s{n} AS (SELECT c, i, sum(e) AS s, count(*) AS n FROM (SELECT c, unnest(x) AS e, generate_subscripts(x, 1) AS i FROM a{n}) GROUP BY c, i),
+        m{n} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{n} GROUP BY c),
+        c{n + 1} AS (SELECT c, coalesce(m.x, old.x) AS x FROM c{n} old LEFT JOIN m{n} m USING (c))""")
+    return f"""
+        WITH {",".join(steps)}
+        SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+            CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(c.x, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c USING (c)"""
+
+
 CHECKS: dict[str, str] = {
     "op2_ngram_join": rf"""
         WITH RECURSIVE d AS (
@@ -112,4 +144,24 @@ CHECKS: dict[str, str] = {
             CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to
         FROM f""",
+    "op12_hard_negatives": f"""
+        WITH r AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_whole("embedding", 256)} AS x
+            FROM embeddings WHERE label IS NOT NULL AND {_finite("embedding")}
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                list_sum(list_transform(range(1, len(a.x) + 1), i -> a.x[i] * b.x[i])) AS score
+            FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+        ), p AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        ), n AS (
+            SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+                row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank
+            FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, CAST(positive_score AS BIGINT) AS positive_score,
+            CAST(negative_score AS BIGINT) AS negative_score
+        FROM n WHERE rank <= 3""",
+    "op13_centroids": _clusters(3),
 }

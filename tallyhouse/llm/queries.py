@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.llm import (
-    bpe, bytespans, decontaminate, fingerprint, lattice_lm, ngram_join, passages, pii, token_counts, toxicity, warc)
+    bpe, bytespans, centroids, decontaminate, fingerprint, hard_negatives, lattice_lm, ngram_join, passages, pii, token_counts, toxicity,
+    warc)
 from tallyhouse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op11_token_counts")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counts(table(spark, sf_dir, "documents"), PIECES)
+
+
+@_query("op12_hard_negatives")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.report(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op13_centroids")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
