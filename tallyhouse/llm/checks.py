@@ -11,16 +11,16 @@ def _item_words(text: str) -> str:
 
 
 def _finite(vector: str) -> str:
-    return f"({vector} IS NOT NULL AND coalesce(list_bool_and(list_transform({vector}, x -> coalesce(isfinite(x), false))), true))"
+    return f"({vector} IS NOT NULL AND coalesce(list_bool_and(list_transform({vector}, lambda x: coalesce(isfinite(x), false))), true))"
 
 
 def _whole(vector: str, scale: int) -> str:
-    return f"list_transform({vector}, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"
+    return f"list_transform({vector}, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"
 
 
 def _clusters(rounds: int) -> str:
     """Three rounds of k-means, one after the other."""
-    far = "list_sum(list_transform(range(1, 65), i -> (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
+    far = "list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))"
     steps = [f"""
         v AS (SELECT vec_id, {_whole("embedding", 64)} AS x FROM embeddings WHERE len(embedding) = 64 AND {_finite("embedding")}),
         c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, x FROM v QUALIFY c < 16)"""]
@@ -150,7 +150,7 @@ CHECKS: dict[str, str] = {
             FROM embeddings WHERE label IS NOT NULL AND {_finite("embedding")}
         ), s AS (
             SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
-                list_sum(list_transform(range(1, len(a.x) + 1), i -> a.x[i] * b.x[i])) AS score
+                list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i])) AS score
             FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
         ), p AS (
             SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
