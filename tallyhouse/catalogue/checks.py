@@ -287,6 +287,23 @@ WHERE {_STORE_OPEN} AND NOT EXISTS (SELECT 1 FROM raw_sales o WHERE o.{_OLD} AND
 SELECT {_all(schemas.ENRICHED_PAYMENT_COLUMNS)} FROM paid""",
     "daily_job_sales": f"""WITH {_JOB_HEADER}, {_loaded(_RAW_SALES, 'raw_sales', schemas.RAW_SALES)}, {_SOLD_LINES.replace(_OPEN, "TRUE")}
 SELECT {_all(schemas.ENRICHED_SALES_COLUMNS)} FROM sold""",
+    "daily_job_payment_entry": f"WITH {_ENTRIES} SELECT {_all(_ENTRY_NAMES)} FROM entries",
+    "load_history": f"""WITH {_RAW_HEADER}, {_RAW_PAYMENT}, {_RAW_SALES}, brought AS (
+  SELECT CASE WHEN {_OLD} THEN 'day 1' ELSE 'day 2' END AS label, 'rawHeader' AS "table" FROM raw_header
+  UNION ALL SELECT CASE WHEN paymentType = 'Card' THEN 'day 1' ELSE 'day 2' END, 'rawPayment' FROM raw_payment
+  UNION ALL SELECT CASE WHEN receiptNo % 2 = 0 THEN 'day 1' ELSE 'day 2' END, 'rawSales' FROM raw_sales)
+SELECT label, "table", count(*) AS rows FROM brought GROUP BY ALL""",
+    "open_payment_orders": f"""WITH {_JOB_HEADER}, {_RAW_PAYMENT}
+SELECT DISTINCT uniqueOrderId FROM raw_payment WHERE paymentType = 'Card'
+  AND uniqueOrderId NOT IN (SELECT uniqueOrderId FROM enriched WHERE {_OLD})""",
+    "unmapped_waiting": f"""WITH {_RAW_HEADER}, {_MAPPINGS}
+SELECT uniqueOrderId, CASE
+    WHEN NOT EXISTS (SELECT 1 FROM virtual_stores WHERE storeName = store AND conceptionName = conception) THEN 'store'
+    WHEN delivery NOT IN ('F', 'O') THEN 'delivery' ELSE 'currency' END AS lacks,
+  CASE WHEN {_OLD} THEN 'day 1' ELSE 'day 2' END AS run
+FROM {_LIVE} h WHERE NOT EXISTS (
+  SELECT 1 FROM virtual_stores JOIN currency ON regionCode = region
+  WHERE storeName = h.store AND conceptionName = h.conception AND h.delivery IN ('F', 'O'))""",
     "report_sales_template": _report(report_specs.SALES_TEMPLATE, [schemas.SALES_FIELDS]),
     "report_payment_brands": _report(
         report_specs.PAYMENT, [schemas.PAYMENT_FIELDS], f"{_NO_VOID} AND \"Conception\" IN ('FURNITURE', 'BUILDING')"),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,11 @@ from tallyhouse.operators.dedupe import find_duplicates, stored_rows
 from tallyhouse.operators.metrics import counted, misfits
 from tallyhouse.operators.progress import mark_done, mark_fetched, not_done
 from tallyhouse.operators.reports import DateRange, ReportSpec, ValueList, olap_report
+from tallyhouse.operators.together import together
 from tallyhouse.operators.windows import (
     backfill_windows, custom_dates, high_water_marks, pending_window, previous_day)
 from tallyhouse.plans import report_specs
-from tallyhouse.plans.jobs import Warehouse, enrich, load
+from tallyhouse.plans.jobs import Warehouse, enrich, load, open_orders, unmapped
 from tallyhouse.plans.loads import (
     StoresLoad, load_all_tables, load_currency, load_header, load_payment, load_payment_entry, load_sales, shape_header,
     shape_payment_entry)
@@ -211,41 +214,89 @@ def multi_store_load_sales(t: Tables) -> DataFrame:
 # The daily job
 
 
-def _daily_job(t: Tables) -> Warehouse:
-    """Two days of loads and enrichment, and a third that finds nothing to do.
+class _Delivery(NamedTuple):
+    headers: DataFrame
+    payments: DataFrame
+    sales: DataFrame
 
-    The first day brings older headers, and card payments of all orders: those of later orders wait for their header.
-    The second brings all rows; payments of the other kind come late for orders enriched on the first.
+
+def _deliveries(t: Tables) -> tuple[_Delivery, _Delivery]:
+    """The reports of two days.
+
+    The first brings older headers, card payments of all orders, and lines of every second order: payments and lines of
+    later orders wait for their header. The second brings all rows; payments of the other kind come late for orders
+    enriched on the first.
     """
-    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
-    mappings = Mappings.measured(*(_landed(t, side, name) for side, name in t.mapping_tables()))
-    raw = _landed(t, t.raw_header(), "header")
-    headers = report_rows(raw, schemas.HEADER_FIELDS).withColumn("StoreId", F.col("TableNum"))
-    payments = report_rows(_landed(t, t.raw_payment(), "payments"), schemas.PAYMENT_FIELDS)
-    sales = report_rows(_landed(t, t.raw_sales(), "sales"), schemas.SALES_FIELDS)
+    raw = ((t.raw_header(), "header"), (t.raw_payment(), "payments"), (t.raw_sales(), "sales"))
+    # The tables may be one split each; further steps run on as many tasks as the rows ask for.
+    landed = together(t.spark, [partial(_landed, t, rows.hint("rebalance"), name) for rows, name in raw])
+    headers, payments, sales = (report_rows(rows, fields) for rows, fields in zip(
+        landed, (schemas.HEADER_FIELDS, schemas.PAYMENT_FIELDS, schemas.SALES_FIELDS)))
+    headers = headers.withColumn("StoreId", F.col("TableNum"))
     old = F.to_date("`OpenDate.Typed`") < F.lit(STORED_BEFORE)
-    load(warehouse, headers.filter(old), payments.filter(named("PayTypes") == "Card"), sales.filter(F.pmod(F.xxhash64("`UniqOrderId.Id`"), F.lit(2)) == 0), F.col("StoreId"), "day 1")
-    enrich(warehouse, mappings, "day 1")
-    for day in ("day 2", "day 3"):
-        load(warehouse, headers, payments, sales, F.col("StoreId"), day)
+    first = _Delivery(headers.filter(old), payments.filter(named("PayTypes") == "Card"), sales.filter(F.col("OrderNum") % 2 == 0))
+    return first, _Delivery(headers, payments, sales)
+
+
+def _daily_job(t: Tables, *days: str) -> Warehouse:
+    """Loads and enrichment of some days. The third brings the rows of the second again and finds nothing to do."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    mappings = Mappings.measured(*together(t.spark, [partial(_landed, t, side, name) for side, name in t.mapping_tables()]))
+    first, second = _deliveries(t)
+    for day in days:
+        load(warehouse, *(first if day == "day 1" else second), F.col("StoreId"), day)
         enrich(warehouse, mappings, day)
     return warehouse
 
 
+DAYS = ("day 1", "day 2", "day 3")
+
+
 @query("daily_job")
 def daily_job(t: Tables) -> DataFrame:
     """The enriched headers of the job; row ids are this library's own."""
-    return _daily_job(t).read("transformHeader").select(*schemas.ENRICHED_HEADER_COLUMNS).drop("fk_rawHeader")
+    return _daily_job(t, *DAYS).read("transformHeader").select(*schemas.ENRICHED_HEADER_COLUMNS).drop("fk_rawHeader")
 
 
 @query("daily_job_payment")
 def daily_job_payment(t: Tables) -> DataFrame:
-    return _daily_job(t).read("transformPayment").select(*schemas.ENRICHED_PAYMENT_COLUMNS)
+    return _daily_job(t, *DAYS).read("transformPayment").select(*schemas.ENRICHED_PAYMENT_COLUMNS)
 
 
 @query("daily_job_sales")
 def daily_job_sales(t: Tables) -> DataFrame:
-    return _daily_job(t).read("transformSales").select(*schemas.ENRICHED_SALES_COLUMNS)
+    return _daily_job(t, *DAYS).read("transformSales").select(*schemas.ENRICHED_SALES_COLUMNS)
+
+
+@query("daily_job_payment_entry")
+def daily_job_payment_entry(t: Tables) -> DataFrame:
+    """The older payment table after two deliveries, of which the second holds the first."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    rows = _landed(t, _entry_rows(t), "entry-rows")
+    for label, entries in (("day 1", rows.filter(F.to_date("`OpenDate.Typed`") < F.lit(STORED_BEFORE))), ("day 2", rows)):
+        load(warehouse, None, None, None, F.lit(None), label, entries, named("Department"))
+    return warehouse.read("paymentEntry").select(*schemas.PAYMENT_ENTRY.names)
+
+
+@query("load_history")
+def load_history(t: Tables) -> DataFrame:
+    """Rows that each delivery brought to the raw tables, from the ledger."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    for label, delivery in zip(("day 1", "day 2"), _deliveries(t)):
+        load(warehouse, *delivery, F.col("StoreId"), label)
+    return warehouse.history().filter(F.col("table").startswith("raw")).select("label", "table", "rows")
+
+
+@query("open_payment_orders")
+def open_payment_orders(t: Tables) -> DataFrame:
+    """Orders whose payments wait for their header after the first day."""
+    return open_orders(_daily_job(t, "day 1"), "payment").select("uniqueOrderId")
+
+
+@query("unmapped_waiting")
+def unmapped_waiting(t: Tables) -> DataFrame:
+    """Orders that wait for a mapping after the second day."""
+    return unmapped(_daily_job(t, "day 1", "day 2")).select("uniqueOrderId", "lacks", "run")
 
 
 # Reports

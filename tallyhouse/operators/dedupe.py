@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.joins import join_on_keys
+from tallyhouse.operators.joins import join_on_keys, key_digest
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -31,6 +31,29 @@ def stored_rows(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], h
     return join_on_keys(batch, stored.select(*keys).distinct(), keys, "left_semi", hot)
 
 
+def new_beside_buckets(batch: DataFrame, stored: DataFrame, key: str, hot: Sequence[int] = ()) -> DataFrame:
+    """`new_rows` for stored rows that are bucketed by the key: they are not moved, hot keys or not.
+
+    Rows of the batch with a hot key stay where they are; the stored keys among the hot ones, as many at most as `hot`
+    names, go to all of them.
+    """
+    if not hot:
+        return new_rows(batch, stored, key)
+    is_hot = key_digest([key]).isin(*hot)
+    few = F.broadcast(stored.filter(is_hot).select(key).distinct())
+    return new_rows(batch.filter(~is_hot), stored, key).unionByName(batch.filter(is_hot).join(few, [key], "left_anti"))
+
+
+def paired_rows(batch: DataFrame, stored: DataFrame, key: str, other: str, how: str) -> DataFrame:
+    """Batch rows whose `key` and `other` are stored in one row (`left_semi`) or are not (`left_anti`).
+
+    The stored values of `other` are gathered by key, so either side that is bucketed by the key alone is not moved. A
+    key should have few of them.
+    """
+    gathered = stored.groupBy(F.col(key).alias("_key")).agg(F.collect_set(other).alias("_others"))
+    return batch.join(gathered, (F.col(key) == F.col("_key")) & F.array_contains("_others", F.col(other)), how)
+
+
 def find_duplicates(batch: DataFrame, stored: DataFrame, key: str | Sequence[str], hot: Sequence[int] = ()) -> DataFrame:
     """Batch rows whose key is stored, with `storedCopies`, the number of stored rows they match."""
     keys = _keys(key)

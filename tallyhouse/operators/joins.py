@@ -40,15 +40,24 @@ def key_digest(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[named(k) for k in keys])
 
 
+def top_keys(keys: Sequence[str]) -> Column:
+    """Aggregate: digests of the join keys with the most rows, by a mergeable frequent-items sketch; `hot_of` reads it."""
+    digest = "xxhash64(" + ", ".join("`" + k.replace("`", "``") + "`" for k in keys) + ")"
+    return F.expr(f"approx_top_k({digest}, {_TOP_KEYS}, {_TRACKED_KEYS})")
+
+
+def hot_of(top, min_rows: int = HOT_ROWS) -> tuple[int, ...]:
+    """The hot ones among `top_keys`: those with at least `min_rows` rows."""
+    return tuple(entry["item"] for entry in top or () if entry["count"] >= min_rows)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> tuple[int, ...]:
     """Digests of the join keys that own at least `min_rows` rows; the largest of them, where there are very many.
 
     A mergeable frequent-items sketch finds them in one scan without a shuffle by key. The answer only picks how rows
     are dealt, so an estimate is enough: results are the same for any answer.
     """
-    top = df.select(key_digest(keys).alias("key")).agg(
-        F.expr(f"approx_top_k(key, {_TOP_KEYS}, {_TRACKED_KEYS})").alias("top")).first().top
-    return tuple(entry["item"] for entry in top or () if entry["count"] >= min_rows)
+    return hot_of(df.agg(top_keys(keys).alias("top")).first().top, min_rows)
 
 
 def join_on_keys(facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse import schemas
 from tallyhouse.functions.columns import (
     NOT_DELETED, TEST_STORE, base_currency, call_centre_mark, credited_to, display_date, item_name, order_source,
     time_part)
@@ -24,6 +26,13 @@ _MAPPING_KEYS = {
 }
 
 
+# What is read of each mapping.
+_MAPPING_READ = {
+    "virtual_stores": tuple(schemas.VIRTUAL_STORES.names), "delivery": tuple(schemas.DELIVERY_MAP.names),
+    "order_sources": tuple(schemas.ORDER_SOURCE_MAP.names), "currency": tuple(schemas.CURRENCY.names),
+}
+
+
 @dataclass(frozen=True)
 class Mappings:
     """The mapping tables and which of them were measured small enough to broadcast."""
@@ -42,6 +51,13 @@ class Mappings:
         require_unique({name: (side, _MAPPING_KEYS[name]) for name, side in sides.items()})
         return cls(**sides, small=small_sides(sides, max_bytes))
 
+    def digest(self) -> str:
+        """Counts and digests of the mappings' rows, in any order: the same text as long as they hold the same rows."""
+        sides = [getattr(self, name).select(*_MAPPING_READ[name]).agg(
+            F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*_MAPPING_READ[name])).alias("digest")).select(F.lit(name).alias("name"), "rows", "digest")
+            for name in _MAPPING_KEYS]
+        return " ".join(f"{row['name']}:{row['rows']}:{row['digest']}" for row in sorted(reduce(DataFrame.unionAll, sides).collect()))
+
     def join(self, facts: DataFrame, name: str, columns: dict[str, str], on: Sequence[str], how: str = "inner") -> DataFrame:
         """Join one mapping, its columns renamed by `columns` first."""
         side = getattr(self, name).select(*[F.col(old).alias(new) for old, new in columns.items()])
