@@ -240,6 +240,10 @@ _STORE_OPEN = f"""EXISTS (SELECT 1 FROM raw_header h JOIN marks m ON m.storeID =
   WHERE h.uniqueOrderId = b.uniqueOrderId AND b.accountingDay <= {_RUN} AND m.mark < {_RUN}
     AND b.accountingDay >= CASE WHEN date_diff('day', m.mark, {_RUN}) > 5 THEN m.mark + 1 ELSE m.mark END)"""
 
+_ANSWERS = f"""{_RAW_HEADER},
+kinds AS (SELECT *, (tableNo + year(accountingDay)) % 11 AS kind FROM raw_header),
+good AS (SELECT * FROM kinds WHERE kind NOT IN (1, 2, 3))"""
+
 CHECKS: dict[str, str] = {
     "transform_header": f"WITH {_FULL} SELECT {_all(schemas.ENRICHED_HEADER_COLUMNS)} FROM enriched",
     "transform_header_incremental": f"""WITH {_RAW_HEADER}, {_MAPPINGS}, {_enriched(_LIVE_NEW)}
@@ -255,8 +259,7 @@ FROM {_LIVE_NEW} h WHERE NOT EXISTS (
   WHERE storeName = h.store AND conceptionName = h.conception AND h.delivery IN ('F', 'O'))""",
     "load_header": f"""WITH {_SHAPED_HEADER} SELECT {_blanked(schemas.RAW_HEADER.names)} FROM batch b
 WHERE NOT EXISTS (SELECT 1 FROM raw_header o WHERE {_OLD} AND o.uniqueOrderId = b.uniqueOrderId AND o.storeID = b.storeID)""",
-    "load_headers_untransformed_only": f"""WITH {_RAW_HEADER}
-SELECT uniqueOrderId, storeID, {_plain('accountingDay')}, {_plain('GrossSalesBD')} FROM raw_header
+    "load_headers_untransformed_only": f"""WITH {_SHAPED_HEADER} SELECT {_blanked(schemas.RAW_HEADER.names)} FROM batch
 WHERE NOT (accountingDay >= DATE '1997-07-01' AND {_OLD})""",
     "load_payment": f"""WITH {_RAW_PAYMENT} SELECT {_blanked(schemas.RAW_PAYMENT.names)} FROM raw_payment b
 WHERE NOT EXISTS (SELECT 1 FROM raw_payment o WHERE o.{_OLD} AND o.uid = b.uid)""",
@@ -269,8 +272,7 @@ copies AS (SELECT uid, count(*) AS storedCopies FROM entries WHERE openDate < DA
 SELECT {", ".join(_plain(n, "b." + n) for n in _ENTRY_NAMES)}, storedCopies FROM entries b JOIN copies ON b.uid = copies.uid""",
     "find_duplicates": f"""WITH {_RAW_SALES},
 copies AS (SELECT uniqueOrderId, count(*) AS storedCopies FROM raw_sales WHERE {_OLD} GROUP BY uniqueOrderId)
-SELECT b.uniqueOrderId, {_plain('accountingDay', 'b.accountingDay')}, b.itemCode, {_plain('grossSalesAD', 'b.grossSalesAD')},
-  storedCopies FROM raw_sales b JOIN copies ON b.uniqueOrderId = copies.uniqueOrderId""",
+SELECT {", ".join(_plain(n, "b." + n) for n in schemas.RAW_SALES.names)}, storedCopies FROM raw_sales b JOIN copies ON b.uniqueOrderId = copies.uniqueOrderId""",
     "multi_store_load": f"""WITH {_SHAPED_HEADER}, {_MARKS}
 SELECT {_blanked(schemas.RAW_HEADER.names)} FROM batch b
 WHERE EXISTS (SELECT 1 FROM marks m WHERE m.storeID = b.storeID AND b.accountingDay <= {_RUN} AND m.mark < {_RUN}
@@ -288,6 +290,21 @@ SELECT {_all(schemas.ENRICHED_PAYMENT_COLUMNS)} FROM paid""",
     "daily_job_sales": f"""WITH {_JOB_HEADER}, {_loaded(_RAW_SALES, 'raw_sales', schemas.RAW_SALES)}, {_SOLD_LINES.replace(_OPEN, "TRUE")}
 SELECT {_all(schemas.ENRICHED_SALES_COLUMNS)} FROM sold""",
     "daily_job_payment_entry": f"WITH {_ENTRIES} SELECT {_all(_ENTRY_NAMES)} FROM entries",
+    "first_load": f"WITH {_SHAPED_HEADER} SELECT {_blanked(schemas.RAW_HEADER.names)} FROM batch",
+    "marks_by_load": f"""WITH {_RAW_HEADER}
+SELECT storeID, CAST(max(accountingDay) AS VARCHAR) AS maxDate FROM raw_header GROUP BY storeID""",
+    "answer_documents": f"""WITH {_ANSWERS}
+SELECT conception, CASE WHEN receiptNo % 5 <> 0 THEN '' END AS creditUser, delivery AS isDelivery, coalesce(deliverySource, '') AS sourceKey,
+  store AS department, CAST(grossSalesAD AS DOUBLE) AS dishDiscountSumInt, externalOrderNo AS externalNumber,
+  CAST(accountingDay AS VARCHAR) AS openDate, CASE WHEN receiptNo % 7 <> 0 THEN receiptNo END AS orderNum, orderType, 'Card' AS payTypes,
+  uniqueOrderId AS uniqOrderId FROM good""",
+    "answer_rejects": f"""WITH {_ANSWERS}
+SELECT CASE kind WHEN 1 THEN 'broken' WHEN 2 THEN 'error' ELSE 'empty' END AS reason, count(DISTINCT (tableNo, year(accountingDay))) AS n
+FROM kinds WHERE kind IN (1, 2, 3) GROUP BY 1""",
+    "answer_drift": f"""WITH {_ANSWERS}
+SELECT 'Loyalty' AS field, 'unknown' AS change, count(*) AS rows FROM good WHERE receiptNo % 3 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'CreditUser', 'missing', count(*) FROM good WHERE receiptNo % 5 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'OrderNum', 'misfit', count(*) FROM good WHERE receiptNo % 7 = 0 HAVING count(*) > 0""",
     "load_history": f"""WITH {_RAW_HEADER}, {_RAW_PAYMENT}, {_RAW_SALES}, brought AS (
   SELECT CASE WHEN {_OLD} THEN 'day 1' ELSE 'day 2' END AS label, 'rawHeader' AS "table" FROM raw_header
   UNION ALL SELECT CASE WHEN paymentType = 'Card' THEN 'day 1' ELSE 'day 2' END, 'rawPayment' FROM raw_payment
@@ -401,6 +418,7 @@ UNION ALL SELECT 'duplicates', count(*), {len(schemas.RAW_HEADER.names)} FROM ra
 UNION ALL SELECT 'new', count(*), {len(schemas.RAW_HEADER.names)} FROM raw_header WHERE NOT ({_OLD})""",
     "sink_roundtrip_csv": _EXTRACTS,
     "sink_roundtrip_json": _EXTRACTS,
+    "sink_named_files": f"SELECT * EXCLUDE (Extract), Extract || '.csv' AS File FROM ({_EXTRACTS})",
     "sink_roundtrip_table": f"WITH {_RAW_HEADER} SELECT {_all(schemas.RAW_HEADER.names)} FROM raw_header",
     "envelope_scan": f"""WITH {_RAW_HEADER},
 paid AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, l_linestatus, sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS amount

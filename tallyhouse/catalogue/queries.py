@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import partial
 from typing import NamedTuple
@@ -20,13 +20,15 @@ from tallyhouse.operators.progress import mark_done, mark_fetched, not_done
 from tallyhouse.operators.reports import DateRange, ReportSpec, ValueList, olap_report
 from tallyhouse.operators.together import together
 from tallyhouse.operators.windows import (
-    backfill_windows, custom_dates, high_water_marks, pending_window, previous_day)
+    backfill_spans, backfill_windows, custom_dates, high_water_marks, pending_window, previous_day)
 from tallyhouse.plans import report_specs
-from tallyhouse.plans.jobs import Warehouse, enrich, load, open_orders, unmapped
+from tallyhouse.plans.jobs import Warehouse, enrich, load, open_orders, store_marks, unmapped
 from tallyhouse.plans.loads import (
     StoresLoad, load_all_tables, load_currency, load_header, load_payment, load_payment_entry, load_sales, shape_header,
     shape_payment_entry)
 from tallyhouse.plans.transforms import Mappings, transform_header, transform_payment, transform_sales, unmapped_headers
+from tallyhouse.sources.answers import Answers, read_answers, stored_names
+from tallyhouse.sources.extract_files import read_extract_files, write_extract_files
 from tallyhouse.sources.readers import (
     query_table, read_currency_sheet, read_envelopes, read_store_master, read_table, read_text_rows, scan_envelopes)
 from tallyhouse.sources.scratch import scratch_path
@@ -127,8 +129,7 @@ def load_headers_untransformed_only(t: Tables) -> DataFrame:
     # Of the stored rows, those of the second half of 1997 still wait for enrichment.
     landed = stored(raw).withColumn("transformFlag", F.col("accountingDay") < F.lit(date(1997, 7, 1)))
     rows = report_rows(raw, schemas.HEADER_FIELDS).withColumn("StoreId", F.col("TableNum"))
-    new = load_header(rows, landed, F.col("StoreId"), untransformed_only=True)
-    return new.select("uniqueOrderId", "storeID", "accountingDay", "GrossSalesBD")
+    return load_header(rows, landed, F.col("StoreId"), untransformed_only=True)
 
 
 @query("load_payment")
@@ -176,11 +177,11 @@ def payment_entry_duplicates(t: Tables) -> DataFrame:
 
 @query("find_duplicates")
 def find_stored_lines(t: Tables) -> DataFrame:
-    raw = t.raw_sales().select("uniqueOrderId", "accountingDay", "itemCode", "grossSalesAD")
+    raw = t.raw_sales()
     return find_duplicates(raw, stored(raw), "uniqueOrderId", t.hot_orders())
 
 
-def _multi_store(t: Tables) -> StoresLoad:
+def _multi_store(t: Tables, hot: Sequence[int] = ()) -> StoresLoad:
     """The three loads of all stores, over their open windows. The store of a line or payment is that of its order."""
     raw = _landed(t, t.raw_header(), "header")
     landed = StoresLoad(stored(raw), stored(t.raw_payment()), stored(t.raw_sales()))
@@ -192,8 +193,9 @@ def _multi_store(t: Tables) -> StoresLoad:
 
     headers = report_rows(raw, schemas.HEADER_FIELDS).withColumn("StoreId", F.col("TableNum"))
     store = F.col("StoreId")
+    spans = _landed(t, backfill_spans(high_water_marks(landed.headers), RUN_DATE, MAX_DAYS), "spans")
     return load_all_tables(headers, rows(t.raw_payment(), schemas.PAYMENT_FIELDS), rows(t.raw_sales(), schemas.SALES_FIELDS),
-                           landed, high_water_marks(landed.headers), RUN_DATE, MAX_DAYS, store, store, store, t.hot_orders())
+                           landed, spans, store, store, store, hot)
 
 
 @query("multi_store_load")
@@ -208,7 +210,7 @@ def multi_store_load_payment(t: Tables) -> DataFrame:
 
 @query("multi_store_load_sales")
 def multi_store_load_sales(t: Tables) -> DataFrame:
-    return _multi_store(t).sales
+    return _multi_store(t, t.hot_orders()).sales
 
 
 # The daily job
@@ -278,6 +280,24 @@ def daily_job_payment_entry(t: Tables) -> DataFrame:
     return warehouse.read("paymentEntry").select(*schemas.PAYMENT_ENTRY.names)
 
 
+@query("first_load")
+def first_load(t: Tables) -> DataFrame:
+    """The headers in a raw table that was not there before."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    load(warehouse, report_rows(t.raw_header(), schemas.HEADER_FIELDS).withColumn("StoreId", F.col("TableNum")), None, None, F.col("StoreId"), "first")
+    return warehouse.read("rawHeader").select(*schemas.RAW_HEADER.names)
+
+
+@query("marks_by_load")
+def marks_by_load(t: Tables) -> DataFrame:
+    """High-water marks folded from those that two loads left."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    headers = report_rows(_landed(t, t.raw_header(), "header"), schemas.HEADER_FIELDS).withColumn("StoreId", F.col("TableNum"))
+    for label, rows in (("day 1", headers.filter(F.to_date("`OpenDate.Typed`") < F.lit(STORED_BEFORE))), ("day 2", headers)):
+        load(warehouse, rows, None, None, F.col("StoreId"), label)
+    return store_marks(warehouse)
+
+
 @query("load_history")
 def load_history(t: Tables) -> DataFrame:
     """Rows that each delivery brought to the raw tables, from the ledger."""
@@ -435,7 +455,7 @@ def store_high_water_mark(t: Tables) -> DataFrame:
 
 
 @query("backfill_windows")
-def backfill_spans(t: Tables) -> DataFrame:
+def windows_to_load(t: Tables) -> DataFrame:
     return backfill_windows(high_water_marks(stored(t.raw_header())), RUN_DATE, MAX_DAYS)
 
 
@@ -574,6 +594,17 @@ def sink_roundtrip_json(t: Tables) -> DataFrame:
     return _extract_roundtrip(t, "json")
 
 
+@query("sink_named_files")
+def sink_named_files(t: Tables) -> DataFrame:
+    """Extracts as CSV files under their names, read back with folder and file."""
+    entries = shape_payment_entry(_entry_rows(t), named("Department"))
+    stores = t.store_master().withColumn("StoreId", F.col("StoreCode"))
+    path = scratch_path(t.spark, "extract-files")
+    write_extract_files(named_extracts(entries, stores, *WHOLE_SPAN), path, "csv")
+    back = read_extract_files(t.spark, path, entries.schema, "csv")
+    return back.withColumn("File", F.regexp_replace("File", r"(_\d+)?\.csv$", ".csv"))
+
+
 @query("sink_roundtrip_table")
 def sink_roundtrip_table(t: Tables) -> DataFrame:
     """Two header batches appended to one stored table, read back with two columns of it."""
@@ -680,3 +711,45 @@ def envelope_rejects(t: Tables) -> DataFrame:
     envelopes.select(damaged.otherwise(F.col("value")).alias("value")).write.text(path)
     rejects = scan_envelopes(t.spark, path, row_type, one_per_line=True).rejects
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _documents(t: Tables) -> Answers:
+    """One answer per store and year, as a file each, and what is read of them.
+
+    Some are cut off, in error or without a result. In rows of good ones, some have a field that was not asked for, lack
+    one, or hold a text where a number belongs.
+    """
+    fields = schemas.PAYMENT_ENTRY_FIELDS
+    orders = t.raw_header()
+    number = F.col("receiptNo")
+    row = F.to_json(F.struct(
+        F.col("conception").alias("Conception"), F.when(number % 5 != 0, F.lit("")).alias("CreditUser"),
+        F.col("delivery").alias("Delivery.IsDelivery"), F.coalesce("deliverySource", F.lit("")).alias("Delivery.SourceKey"),
+        F.col("store").alias("Department"), F.col("grossSalesAD").alias("DishDiscountSumInt"), F.col("externalOrderNo").alias("ExternalNumber"),
+        F.col("accountingDay").cast("string").alias("OpenDate.Typed"), F.when(number % 7 == 0, "soon").otherwise(number.cast("string")).alias("OrderNum"),
+        F.col("orderType").alias("OrderType"), F.lit("Card").alias("PayTypes"), F.col("uniqueOrderId").alias("UniqOrderId.Id"),
+        F.when(number % 3 == 0, F.lit(True)).alias("Loyalty")))
+    year = F.year("accountingDay")
+    # A store's year is one document, as the service sends it.
+    listed = orders.select("tableNo", year.alias("year"), row.alias("row")).groupBy("tableNo", "year").agg(F.concat_ws(",", F.collect_list("row")).alias("rows"))
+    kind = (F.col("tableNo") + F.col("year")) % 11
+    result = F.when(kind == 3, "").otherwise(F.concat(F.lit(', "result": {"rawData": ['), "rows", F.lit("]}")))
+    text = F.concat(F.lit('{"error": '), F.when(kind == 2, "true").otherwise("false"), result, F.when(kind == 1, "").otherwise("}"))
+    path = scratch_path(t.spark, "documents")
+    listed.select("tableNo", "year", text.alias("value")).write.partitionBy("tableNo", "year").text(path)
+    return read_answers(t.spark, path, fields)
+
+
+@query("answer_documents")
+def answer_documents(t: Tables) -> DataFrame:
+    return stored_names(_documents(t).rows, schemas.PAYMENT_ENTRY_FIELDS)
+
+
+@query("answer_rejects")
+def answer_rejects(t: Tables) -> DataFrame:
+    return _documents(t).rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("answer_drift")
+def answer_drift(t: Tables) -> DataFrame:
+    return _documents(t).drift

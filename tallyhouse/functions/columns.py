@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,12 @@ def named(field: str) -> Column:
     return F.col("`" + field.replace("`", "``") + "`")
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row."""
+    widths = [F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) + 8 for c in df.columns]
+    return reduce(lambda a, b: a + b, widths, F.lit(16)).cast("bigint")
+
+
 def as_date(value: Column) -> Column:
     """Date of a date, timestamp or ISO text; text that is no date gives null."""
     return value.try_cast("date")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.columns import named
+from tallyhouse.functions.columns import named, row_bytes
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with this many rows is hot, whatever its share of all rows.
@@ -24,14 +24,9 @@ _TRACKED_KEYS = 5_000
 _SALT = "_salt"
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    widths = [F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) + 8 for c in df.columns]
-    return reduce(lambda a, b: a + b, widths, F.lit(16)).cast("bigint")
-
-
 def small_sides(sides: Mapping[str, DataFrame], max_bytes: int = BROADCAST_BYTES) -> frozenset[str]:
     """Names of the sides whose measured bytes fit a broadcast. One job over all of them."""
-    sizes = [df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")).select(F.lit(name).alias("side"), "bytes")
+    sizes = [df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).select(F.lit(name).alias("side"), "bytes")
              for name, df in sides.items()]
     return frozenset(row.side for row in reduce(DataFrame.unionAll, sizes).collect() if row.bytes <= max_bytes)
 

@@ -47,19 +47,25 @@ def backfill_windows(marks: DataFrame, run_date: date, max_days: int, start_date
         F.when(stepped, F.least(F.date_add("mark", F.col("offset") + (max_days - 1)), today)).otherwise(today).alias("dateTo"))
 
 
-def rows_to_backfill(rows: DataFrame, marks: DataFrame, run_date: date, max_days: int, start_date: date | None = None,
-                     store: str = "storeID", day: str = "accountingDay") -> DataFrame:
-    """Rows inside the backfill windows of their store.
-
-    The windows of a store touch, so together they are one span; one span per store is joined, never one per window.
-    """
-    spans = backfill_windows(marks, run_date, max_days, start_date, store).groupBy(store).agg(
+def backfill_spans(marks: DataFrame, run_date: date, max_days: int, start_date: date | None = None, store: str = "storeID") -> DataFrame:
+    """First and last day to load per store, `_from` and `_to`: its windows touch, so together they are one span."""
+    return backfill_windows(marks, run_date, max_days, start_date, store).groupBy(store).agg(
         F.min("dateFrom").alias("_from"), F.max("dateTo").alias("_to"))
-    small = "spans" in small_sides({"spans": spans})
+
+
+def rows_inside(rows: DataFrame, spans: DataFrame, small: bool, store: str = "storeID", day: str = "accountingDay") -> DataFrame:
+    """Rows inside the span of their store. `small` says the spans were measured and fit a broadcast."""
     joined = join_dimension(rows, spans, [store], "inner", small)
     return joined.filter(as_date(F.col(day)).between(F.col("_from"), F.col("_to"))).select(*[named(c) for c in rows.columns])
 
 
+def rows_to_backfill(rows: DataFrame, marks: DataFrame, run_date: date, max_days: int, start_date: date | None = None,
+                     store: str = "storeID", day: str = "accountingDay") -> DataFrame:
+    """Rows inside the backfill windows of their store; one span per store is joined, never one per window."""
+    spans = backfill_spans(marks, run_date, max_days, start_date, store)
+    return rows_inside(rows, spans, "spans" in small_sides({"spans": spans}), store, day)
+
+
 def previous_day(df: DataFrame, day: str, run_date: date) -> DataFrame:
     """Rows of the day before `run_date`."""
     return df.filter(as_date(F.col(day)) == F.date_sub(F.lit(run_date).cast("date"), 1))

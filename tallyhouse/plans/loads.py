@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions.columns import blank_nulls, named, row_key
 from tallyhouse.operators.dedupe import find_duplicates, new_rows
-from tallyhouse.operators.windows import rows_to_backfill
+from tallyhouse.operators.joins import small_sides
+from tallyhouse.operators.windows import rows_inside, rows_to_backfill
 from tallyhouse.schemas import (
     CURRENCY, CURRENCY_FIELDS, HEADER_FIELDS, PAYMENT_ENTRY, PAYMENT_ENTRY_FIELDS, PAYMENT_FIELDS, RAW_HEADER,
     RAW_PAYMENT, RAW_SALES, SALES_FIELDS)
@@ -107,19 +108,22 @@ class StoresLoad(NamedTuple):
     sales: DataFrame
 
 
-def load_all_tables(headers: DataFrame, payments: DataFrame, sales: DataFrame, stored: StoresLoad, marks: DataFrame,
-                    run_date: date, max_days: int, store_id: Column, payment_store: Column, sales_store: Column,
-                    hot: Sequence[int] = ()) -> StoresLoad:
-    """The loads of header, payments and sales of every store, over the open windows of the stores.
+def load_all_tables(headers: DataFrame, payments: DataFrame, sales: DataFrame, stored: StoresLoad, spans: DataFrame, store_id: Column,
+                    payment_store: Column, sales_store: Column, hot: Sequence[int] = ()) -> StoresLoad:
+    """The loads of header, payments and sales of every store, over the open spans of the stores (see `backfill_spans`).
 
-    Payments and sales rows carry no store, so `payment_store` and `sales_store` say which it is.
+    Payments and sales rows carry no store, so `payment_store` and `sales_store` say which it is. The spans are
+    read several times, so give a stored table.
     """
+    small = "spans" in small_sides({"spans": spans})
+
     def inside(rows: DataFrame, store: Column, day: str) -> DataFrame:
         marked = rows.withColumns({"_store": store.cast("string"), "_day": named(day)})
-        return rows_to_backfill(marked, marks.withColumnRenamed("storeID", "_store"), run_date, max_days, store="_store", day="_day").drop("_store", "_day")
+        return rows_inside(marked, spans.withColumnRenamed("storeID", "_store"), small, "_store", "_day").drop("_store", "_day")
 
+    batch = rows_inside(shape_header(headers, store_id), spans, small)
     return StoresLoad(
-        load_all_stores(headers, stored.headers, marks, run_date, max_days, store_id),
+        new_rows(batch, stored.headers, ["storeID", "uniqueOrderId"]),
         load_payment(inside(payments, payment_store, "OpenDate.Typed"), stored.payments),
         load_sales(inside(sales, sales_store, "OpenDate.Typed"), stored.sales, hot))
 

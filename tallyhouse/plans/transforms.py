@@ -13,9 +13,9 @@ from tallyhouse import schemas
 from tallyhouse.functions.columns import (
     NOT_DELETED, TEST_STORE, base_currency, call_centre_mark, credited_to, display_date, item_name, order_source,
     time_part)
-from tallyhouse.operators.joins import BROADCAST_BYTES, join_dimension, join_on_keys, small_sides
+from tallyhouse.operators.joins import BROADCAST_BYTES, join_dimension, join_on_keys
 from tallyhouse.operators.progress import not_done
-from tallyhouse.sources.readers import require_unique
+from tallyhouse.sources.readers import measured
 from tallyhouse.schemas import ENRICHED_HEADER_COLUMNS, ENRICHED_PAYMENT_COLUMNS, ENRICHED_SALES_COLUMNS
 
 
@@ -48,8 +48,8 @@ class Mappings:
                  max_bytes: int = BROADCAST_BYTES) -> Mappings:
         """The mappings, measured and checked: a repeated key would multiply orders, so it is an error."""
         sides = dict(virtual_stores=virtual_stores, delivery=delivery, order_sources=order_sources, currency=currency)
-        require_unique({name: (side, _MAPPING_KEYS[name]) for name, side in sides.items()})
-        return cls(**sides, small=small_sides(sides, max_bytes))
+        sizes = measured({name: (side, _MAPPING_KEYS[name]) for name, side in sides.items()})
+        return cls(**sides, small=frozenset(name for name, size in sizes.items() if size <= max_bytes))
 
     def digest(self) -> str:
         """Counts and digests of the mappings' rows, in any order: the same text as long as they hold the same rows."""

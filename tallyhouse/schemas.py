@@ -175,33 +175,155 @@ CURRENCY_FIELDS = (
     ("CurrencyConvFactor", "factor", RATE),
 )
 
-# Enriched tables, in stored order.
-ENRICHED_HEADER_COLUMNS = tuple("""
-fk_rawHeader uniqueOrderId storeNo brand virtualStoreNo virtualStoreName financeStoreNo accountingDate receiptNo
-DeliveryYN RefinedOrderSource OriginatedCCYN GrossSalesBD discountAmount surchargeAmount grossSalesAD
-effectiveDiscount VAT NetSales NoOfCovers GGGross region OpeningTimeFormated openingTime tableNo shiftNo deliveryType
-section externalOrderNo customerPhoneNumber customerFullName deliveryComment orderWaiter deliveryPrintTime
-plannedDeliveryTime deliveryDispatchTime actualDeliveryTime deliveryClosingTime GuestBillTimeFormated guestBillTime
-deliveryInvoicePrintTime ClosingTimeFormated closingTime customerPriceCategory numberOfIitems numberOfDiscountedItems
-numberOfComboDiscounts averageRevenuePerGuest lastServPrintTime DataSource AvgCookingTime AvgCookingTime1
-AvgCookingTime2 AvgCookingTime3 AvgCookingTime4 AverageCookingDelay AverageServingTime AverageWaitingTimeToBeServed
-AverageServingDelay GrossSalesBD_BC discountAmount_BC surchargeAmount_BC grossSalesAD_BC effectiveDiscount_BC VAT_BC
-NetSales_BC GGGross_BC averageRevenuePerGuest_BC salesTransformed paymentTransformed
-""".split())
-ENRICHED_PAYMENT_COLUMNS = tuple("""
-uniqueOrderId paymentType accountingDate paymentTypeSplit paymentCardNo paymentCurrency nonCashPaymentType creditedTo
-exchangeRateAED authorisedBy authorisedByID cashier cashierID grossSalesAD VAT netSales numberOfVouchers storeNo
-receiptNo region grossSalesAD_BC VAT_BC netSales_BC
-""".split())
-ENRICHED_SALES_COLUMNS = tuple("""
-uniqueOrderId accountingDate receiptNo itemCode itemId itemName itemFullName itemAccountingCategory itemCategory
-itemGroup level1_itemGroup level2_itemGroup level3_itemGroup courseNo itemWaiter itemServicePrinting itemComment
-soldWithItem discountType surchargeType nameOfDiscountOrSurcharge cookingFinishedAt numberOfItems
-averagePriceBeforeDiscount averagePrice grossSalesBD discountAmount surchargeAmountAED grossSalesAD effectiveDiscount
-VAT netSales cookingTimeAverage cookingTimeAverage1 cookingTimeAverage2 cookingTimeAverage3 cookingTimeAverage4
-storeNo brand region averagePriceBeforeDiscount_BC averagePrice_BC GrossSalesBD_BC discountAmount_BC
-surchargeAmountAED_BC grossSalesAD_BC effectiveDiscount_BC VAT_BC netSales_BC
-""".split())
+# Enriched tables as (stored column, type), in stored order.
+ENRICHED_HEADER_FIELDS = (
+    ("fk_rawHeader", "bigint"),
+    ("uniqueOrderId", "string"),
+    ("storeNo", "string"),
+    ("brand", "string"),
+    ("virtualStoreNo", "string"),
+    ("virtualStoreName", "string"),
+    ("financeStoreNo", "string"),
+    ("accountingDate", "string"),
+    ("receiptNo", "bigint"),
+    ("DeliveryYN", "string"),
+    ("RefinedOrderSource", "string"),
+    ("OriginatedCCYN", "string"),
+    ("GrossSalesBD", MONEY),
+    ("discountAmount", MONEY),
+    ("surchargeAmount", MONEY),
+    ("grossSalesAD", MONEY),
+    ("effectiveDiscount", MONEY),
+    ("VAT", MONEY),
+    ("NetSales", MONEY),
+    ("NoOfCovers", "bigint"),
+    ("GGGross", MONEY),
+    ("region", "string"),
+    ("OpeningTimeFormated", "string"),
+    ("openingTime", "string"),
+    ("tableNo", "bigint"),
+    ("shiftNo", "bigint"),
+    ("deliveryType", "string"),
+    ("section", "string"),
+    ("externalOrderNo", "string"),
+    ("customerPhoneNumber", "string"),
+    ("customerFullName", "string"),
+    ("deliveryComment", "string"),
+    ("orderWaiter", "string"),
+    ("deliveryPrintTime", "string"),
+    ("plannedDeliveryTime", "string"),
+    ("deliveryDispatchTime", "string"),
+    ("actualDeliveryTime", "string"),
+    ("deliveryClosingTime", "string"),
+    ("GuestBillTimeFormated", "string"),
+    ("guestBillTime", "string"),
+    ("deliveryInvoicePrintTime", "string"),
+    ("ClosingTimeFormated", "string"),
+    ("closingTime", "string"),
+    ("customerPriceCategory", "string"),
+    ("numberOfIitems", MONEY),
+    ("numberOfDiscountedItems", "bigint"),
+    ("numberOfComboDiscounts", "bigint"),
+    ("averageRevenuePerGuest", MONEY),
+    ("lastServPrintTime", "string"),
+    ("DataSource", "string"),
+    ("AvgCookingTime", "double"),
+    ("AvgCookingTime1", "double"),
+    ("AvgCookingTime2", "double"),
+    ("AvgCookingTime3", "double"),
+    ("AvgCookingTime4", "double"),
+    ("AverageCookingDelay", "double"),
+    ("AverageServingTime", "double"),
+    ("AverageWaitingTimeToBeServed", "double"),
+    ("AverageServingDelay", "double"),
+    ("GrossSalesBD_BC", MONEY),
+    ("discountAmount_BC", MONEY),
+    ("surchargeAmount_BC", MONEY),
+    ("grossSalesAD_BC", MONEY),
+    ("effectiveDiscount_BC", MONEY),
+    ("VAT_BC", MONEY),
+    ("NetSales_BC", MONEY),
+    ("GGGross_BC", MONEY),
+    ("averageRevenuePerGuest_BC", MONEY),
+    ("salesTransformed", "boolean"),
+    ("paymentTransformed", "boolean"),
+)
+ENRICHED_PAYMENT_FIELDS = (
+    ("uniqueOrderId", "string"),
+    ("paymentType", "string"),
+    ("accountingDate", "string"),
+    ("paymentTypeSplit", "string"),
+    ("paymentCardNo", "string"),
+    ("paymentCurrency", "string"),
+    ("nonCashPaymentType", "string"),
+    ("creditedTo", "string"),
+    ("exchangeRateAED", RATE),
+    ("authorisedBy", "string"),
+    ("authorisedByID", "string"),
+    ("cashier", "string"),
+    ("cashierID", "string"),
+    ("grossSalesAD", MONEY),
+    ("VAT", MONEY),
+    ("netSales", MONEY),
+    ("numberOfVouchers", "bigint"),
+    ("storeNo", "string"),
+    ("receiptNo", "bigint"),
+    ("region", "string"),
+    ("grossSalesAD_BC", MONEY),
+    ("VAT_BC", MONEY),
+    ("netSales_BC", MONEY),
+)
+ENRICHED_SALES_FIELDS = (
+    ("uniqueOrderId", "string"),
+    ("accountingDate", "string"),
+    ("receiptNo", "bigint"),
+    ("itemCode", "string"),
+    ("itemId", "string"),
+    ("itemName", "string"),
+    ("itemFullName", "string"),
+    ("itemAccountingCategory", "string"),
+    ("itemCategory", "string"),
+    ("itemGroup", "string"),
+    ("level1_itemGroup", "string"),
+    ("level2_itemGroup", "string"),
+    ("level3_itemGroup", "string"),
+    ("courseNo", "bigint"),
+    ("itemWaiter", "string"),
+    ("itemServicePrinting", "string"),
+    ("itemComment", "string"),
+    ("soldWithItem", "string"),
+    ("discountType", "string"),
+    ("surchargeType", "string"),
+    ("nameOfDiscountOrSurcharge", "string"),
+    ("cookingFinishedAt", "string"),
+    ("numberOfItems", MONEY),
+    ("averagePriceBeforeDiscount", MONEY),
+    ("averagePrice", MONEY),
+    ("grossSalesBD", MONEY),
+    ("discountAmount", MONEY),
+    ("surchargeAmountAED", MONEY),
+    ("grossSalesAD", MONEY),
+    ("effectiveDiscount", MONEY),
+    ("VAT", MONEY),
+    ("netSales", MONEY),
+    ("cookingTimeAverage", "double"),
+    ("cookingTimeAverage1", "double"),
+    ("cookingTimeAverage2", "double"),
+    ("cookingTimeAverage3", "double"),
+    ("cookingTimeAverage4", "double"),
+    ("storeNo", "string"),
+    ("brand", "string"),
+    ("region", "string"),
+    ("averagePriceBeforeDiscount_BC", MONEY),
+    ("averagePrice_BC", MONEY),
+    ("GrossSalesBD_BC", MONEY),
+    ("discountAmount_BC", MONEY),
+    ("surchargeAmountAED_BC", MONEY),
+    ("grossSalesAD_BC", MONEY),
+    ("effectiveDiscount_BC", MONEY),
+    ("VAT_BC", MONEY),
+    ("netSales_BC", MONEY),
+)
 
 HEADER_FIELDS = HEADER_GROUPS + HEADER_MEASURES + HEADER_TIMINGS
 PAYMENT_FIELDS = PAYMENT_GROUPS + PAYMENT_MEASURES
@@ -236,25 +358,12 @@ STORE_MASTER = _struct([("StoreId", "string"), ("StoreCode", "string"), ("Folder
 STORE_MASTER_CONCEPTS = _struct([("StoreId", "string"), ("StoreCode", "string"), ("Concept", "string"),
                                  ("Folder", "string")])
 
-# Enriched columns that are not raw columns of the same name; base-currency and other new columns default below.
-_ENRICHED_TYPES = {
-    "fk_rawHeader": "bigint", "NoOfCovers": "bigint", "exchangeRateAED": RATE, "salesTransformed": "boolean",
-    "paymentTransformed": "boolean", **{name: MONEY for name in (
-        "effectiveDiscount", "VAT", "NetSales", "netSales", "GGGross")},
-}
-
-
-def _enriched(columns, raw: T.StructType) -> T.StructType:
-    def kind(name):
-        if name in raw.names:
-            return raw[name].dataType
-        return _TYPES[MONEY if name.endswith("_BC") else _ENRICHED_TYPES.get(name, "string")]
-    return T.StructType([T.StructField(name, kind(name)) for name in columns])
-
-
-ENRICHED_HEADER = _enriched(ENRICHED_HEADER_COLUMNS, RAW_HEADER)
-ENRICHED_PAYMENT = _enriched(ENRICHED_PAYMENT_COLUMNS, RAW_PAYMENT)
-ENRICHED_SALES = _enriched(ENRICHED_SALES_COLUMNS, RAW_SALES)
+ENRICHED_HEADER = _struct(ENRICHED_HEADER_FIELDS)
+ENRICHED_PAYMENT = _struct(ENRICHED_PAYMENT_FIELDS)
+ENRICHED_SALES = _struct(ENRICHED_SALES_FIELDS)
+ENRICHED_HEADER_COLUMNS = tuple(ENRICHED_HEADER.names)
+ENRICHED_PAYMENT_COLUMNS = tuple(ENRICHED_PAYMENT.names)
+ENRICHED_SALES_COLUMNS = tuple(ENRICHED_SALES.names)
 
 
 def report_rows(fields) -> T.StructType:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions.columns import blank_nulls, named
+from tallyhouse.functions.columns import blank_nulls, named, row_bytes
 from tallyhouse.schemas import CURRENCY_FIELDS, STORE_MASTER
 
 
@@ -75,10 +75,10 @@ def escape_lines(df: DataFrame) -> DataFrame:
 def unescape_lines(df: DataFrame) -> DataFrame:
     """The reverse of `escape_lines`."""
     def plain(c: Column) -> Column:
-        # An escaped backslash is set aside first, so that it does not escape what follows it.
-        aside = F.lit("\u0000")
-        c = F.replace(F.replace(F.replace(c, F.lit("\\\\"), aside), F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
-        return F.replace(c, aside, F.lit("\\"))
+        # Between escaped backslashes, read from the left, no backslash is left but those of line breaks.
+        parts = F.split(c, r"\\\\")
+        lines = F.transform(parts, lambda part: F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+        return F.array_join(lines, "\\")
 
     return df.select(*[plain(named(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else named(f.name) for f in df.schema])
 
@@ -104,13 +104,25 @@ def query_table(spark: SparkSession, table: DataFrame, sql: str, **values) -> Da
     return spark.sql(sql, args=values, table=table)
 
 
-def require_unique(dimensions: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> None:
-    """Check mappings, given as (rows, key) by name, in one job: a repeated key is an error."""
-    repeats = [rows.groupBy(*keys).count().filter("count > 1").agg(F.count(F.lit(1)).alias("keys"), F.first(F.concat_ws(", ", *keys)).alias("one"))
-               .select(F.lit(name).alias("name"), "keys", "one") for name, (rows, keys) in dimensions.items()]
-    for row in reduce(DataFrame.unionAll, repeats).collect():
+def measured(dimensions: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> dict[str, int]:
+    """Bytes of mappings, given as (rows, key) by name, in one job that also checks them: a repeated key is an error."""
+    checks = []
+    for name, (rows, keys) in dimensions.items():
+        by_key = rows.withColumn("_bytes", row_bytes(rows)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), F.sum("_bytes").alias("_bytes"))
+        repeated = F.col("_copies") > 1
+        checks.append(by_key.agg(
+            F.count_if(repeated).alias("keys"), F.first(F.when(repeated, F.concat_ws(", ", *keys)), ignorenulls=True).alias("one"),
+            F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes")).select(F.lit(name).alias("name"), "keys", "one", "bytes"))
+    found = reduce(DataFrame.unionAll, checks).collect()
+    for row in found:
         if row["keys"]:
             raise ValueError(f"mapping {row['name']}: {row['keys']} keys occur more than once, such as {row['one']!r}")
+    return {row["name"]: row["bytes"] for row in found}
+
+
+def require_unique(dimensions: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Check mappings, given as (rows, key) by name, in one job: a repeated key is an error."""
+    measured(dimensions)
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -9,7 +9,8 @@ from row_helpers import rows
 from tallyhouse import schemas
 from tallyhouse.operators.dedupe import new_beside_buckets
 from tallyhouse.operators.joins import hot_keys
-from tallyhouse.plans.jobs import TABLES, Warehouse, due_lines, enrich, load, open_orders, unmapped
+from tallyhouse.operators.windows import high_water_marks
+from tallyhouse.plans.jobs import TABLES, Warehouse, due_lines, enrich, load, open_orders, store_marks, unmapped
 from tallyhouse.plans.loads import shape_sales
 from tallyhouse.plans.transforms import Mappings, transform_sales
 
@@ -254,6 +255,18 @@ def test_orders_are_tried_again_only_when_mappings_change(spark, tmp_path):
     assert rows(unmapped(warehouse)) == [] and ids(warehouse, "transformHeader", "uniqueOrderId") == [("o1",), ("o2",)]
 
 
+def test_marks_are_folded_from_those_of_the_loads(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path))
+    for label, days in (("a", ("2022-06-19", "2022-06-21")), ("b", ("2022-06-20",))):
+        load(warehouse, headers(spark, *((f"{label}{d}", "S", d) for d in days)), None, None, F.lit("9"), label)
+    load(warehouse, headers(spark, ("x", "S", "2022-06-01"), ("y", "S", "soon")), None, None, F.lit("7"), "c")
+    tables, read = [], Warehouse.read
+    monkeypatch.setattr(Warehouse, "read", lambda self, table, commits=None, bucketed=True: tables.append(table) or read(self, table, commits, bucketed))
+    marks = rows(store_marks(warehouse))
+    assert marks == rows(high_water_marks(read(warehouse, "rawHeader"))) and [m[0] for m in marks] == ["7", "9"]
+    assert tables == ["storeMarks"]
+
+
 def test_an_empty_delivery(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     load(warehouse, *delivery(spark), F.lit("9"), "a")

@@ -9,6 +9,7 @@ from row_helpers import rows
 from tallyhouse import schemas
 from tallyhouse.plans.loads import (
     load_all_stores, load_currency, load_header, load_payment, load_payment_entry, load_sales, shape_header)
+from tallyhouse.sources.extract_files import read_extract_files, write_extract_files
 from tallyhouse.sources.readers import (
     empty, query_table, read_currency_sheet, read_envelopes, read_store_master, read_table, read_text_rows, require_unique,
     scan_envelopes)
@@ -49,7 +50,7 @@ def test_broken_answers_are_kept_as_rejects(spark, tmp_path):
 
 
 def test_text_survives_the_csv_sink(spark, tmp_path):
-    texts = ["  pad ", "a\nb", "c\r\nd", 'say "hi", twice', "back\\slash \\n", "", "\t", '"', "\\"]
+    texts = ["  pad ", "a\nb", "c\r\nd", 'say "hi", twice', "back\\slash \\n", "", "\t", '"', "\\", "a\0b", "\0", "\\\\\n\\", "\\\r\\\\n"]
     df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "i int, t string, n string")
     write_duplicates(df, str(tmp_path / "out"))
     assert rows(read_text_rows(spark, str(tmp_path / "out"), df.schema)) == rows(df.fillna(""))
@@ -160,6 +161,30 @@ def test_extract_folders(spark, tmp_path):
         write_extracts(extracts, str(tmp_path / "x"), "xml")
 
 
+@pytest.mark.parametrize("form", ["csv", "json"])
+def test_extract_files_have_their_names(spark, tmp_path, form):
+    lines = [("1", "YoSushi", f"hot\n{i}") for i in range(25)] + [("1", "Panda Express", "a"), ("2", "YoSushi", "b"), ("9", "YoSushi", "lost")]
+    data = spark.createDataFrame(lines, "storeID string, conception string, v string").repartition(3)
+    stores = spark.createDataFrame([("1", "ONE", "YoSushi", "GG"), ("1", "ONE", "Panda Express", "KING FU+1"), ("2", "TWO", "YoSushi", "GG")],
+                                   schemas.STORE_MASTER_CONCEPTS)
+    extracts = named_extracts(data, stores, date(2022, 6, 20), date(2022, 6, 20))
+    path = str(tmp_path / "out")
+    names = write_extract_files(extracts, path, form, file_rows=10)
+    end = "2022-06-20_2022-06-20"
+    hot = [n for n in names if "PaymentEntry_1_ONE_YoSushi" in n]
+    assert hot[0] == f"GG/PaymentEntry_1_ONE_YoSushi_{end}.{form}" and f"GG/PaymentEntry_1_ONE_YoSushi_{end}_2.{form}" in hot and len(hot) >= 3
+    assert sorted(set(names) - set(hot)) == [f"GG/PaymentEntry_2_TWO_YoSushi_{end}.{form}", f"KING FU+1/PaymentEntry_1_ONE_Panda Express_{end}.{form}"]
+    assert sorted(str(p.relative_to(path)) for p in (tmp_path / "out").rglob(f"*.{form}") if not p.name.startswith(".")) == names
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    back = read_extract_files(spark, path, data.schema, form)
+    assert rows(back.select("storeID", "conception", "v")) == sorted(lines[:-1])
+    assert rows(back.filter("v = 'a'").select("Folder", "File")) == [("KING FU+1", f"PaymentEntry_1_ONE_Panda Express_{end}.{form}")]
+    with pytest.raises(FileExistsError):
+        write_extract_files(extracts, path, form)
+    with pytest.raises(ValueError):
+        write_extract_files(extracts, path, "xml")
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     path = scratch_path(spark, "x")
     assert path.startswith(spark.conf.get("spark.checkpoint.dir")) and path != scratch_path(spark, "x")
