@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """`name`, with as many underscores as set it apart from the columns there are; letters count alike in both cases."""
+    there = {c.lower() for c in taken}
+    while name.lower() in there:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a table in the shared folder: lineage ends here, and a lost executor does not repeat what came before."""
     path = scratch_path(df.sparkSession, name)

@@ -19,13 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.automaton import SuffixAutomaton
-from tallyhouse.llm.common import written
+from tallyhouse.llm.common import free_name, written
 
 WINDOW = 10
 # An automaton takes about a kilobyte per item word in a Python worker. More words than this are split over several
 # automata, and documents pass them one after the other.
 SHARD_WORDS = 200_000
-MAX_SHARDS = 64
 MAX_COVERAGE = 0.5
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -122,54 +121,53 @@ def cut_spans(text: bytes, spans: Sequence[tuple[int, int]]) -> bytes:
     return b"".join(parts) + text[at:]
 
 
-def automata(items: DataFrame, item_col: str, text_col: str, window: int, shard_words: int = SHARD_WORDS) -> list[Broadcast]:
-    """Automata of all items, each of at most `shard_words` words or of one item. Items pass the driver one shard at
-    a time; a test set of more than `MAX_SHARDS` shards is an error.
-    """
+def automata(items: DataFrame, item_col: str, text_col: str, window: int, shard_words: int = SHARD_WORDS) -> Iterator[Broadcast]:
+    """Automata of all items, each of at most `shard_words` words or of one item, built one at a time."""
     context = items.sparkSession.sparkContext
-    shards, held, size = [], [], 0
+    held, size = [], 0
     rows = items.select(F.col(item_col).cast("string"), F.coalesce(F.col(text_col), F.lit("")).cast("binary")).toLocalIterator()
     for name, text in rows:
         n = len(fold_words(bytes(text)))
         if held and size + n > shard_words:
-            shards.append(context.broadcast(Automaton(held, window)))
+            yield context.broadcast(Automaton(held, window))
             held, size = [], 0
-            if len(shards) >= MAX_SHARDS:
-                raise ValueError(f"test items exceed {MAX_SHARDS} automata of {shard_words} words")
         held.append((name, bytes(text)))
         size += n
-    return [*shards, context.broadcast(Automaton(held, window))]
+    yield context.broadcast(Automaton(held, window))
 
 
-_FOUND = "_n_words long, _spans array<int>, _items array<string>"
+FOUND = ("_n_words", "_spans", "_items")
+_FOUND_AS = ("long", "array<int>", "array<string>")
 
 
-def hits(documents: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
-         item_text_col: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """`documents` with `_n_words`, `_spans` (word spans, flattened first/after-last pairs) and `_items`.
+def hits(documents: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+         window: int = WINDOW, shard_words: int = SHARD_WORDS, names: Sequence[str] = FOUND) -> DataFrame:
+    """`documents` with three more columns, named by `names`: words, word spans (flattened first/after-last pairs), items.
 
     Null and empty texts have no words and no hits. Items without words match nothing; an item without an id is looked
     for but cannot be named. Repeated items count once by id; each document row, also a repeated one, is looked at by
-    itself. Columns of these three names are replaced.
+    itself. Columns of these three names are replaced. Items beyond one automaton take one pass over the documents each.
     """
-    rows = documents.drop("_n_words", "_spans", "_items")
-    for k, shard in enumerate(automata(items, item_col, item_text_col, window, shard_words)):
-        if k:  # one automaton at a time in a worker
+    rows, last = documents.drop(*names), None
+    for shard in automata(items, item_col, item_text_col, window, shard_words):
+        if last is not None:  # one automaton at a time, on the driver and in a worker
             rows = written(rows, "decontaminate")
-        rows = _pass(rows, text_col, shard)
+            last.unpersist()
+        rows, last = _pass(rows, text_col, shard, tuple(names)), shard
     return rows
 
 
-def _pass(rows: DataFrame, text_col: str, shard: Broadcast) -> DataFrame:
-    again = "_spans" in rows.columns
-    kept = [c for c in rows.columns if c not in ("_n_words", "_spans", "_items")]
+def _pass(rows: DataFrame, text_col: str, shard: Broadcast, names: tuple[str, ...]) -> DataFrame:
+    again = names[1] in rows.columns
+    kept = [c for c in rows.columns if c not in names]
     place = kept.index(text_col)
-    schema = T.StructType([*rows.select(*[F.col(f"`{c}`") for c in kept]).schema.fields, *T._parse_datatype_string(_FOUND).fields])
+    found_as = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in zip(names, _FOUND_AS)]
+    schema = T.StructType([*rows.select(*[F.col(f"`{c}`") for c in kept]).schema.fields, *found_as])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shard.value
         for batch in batches:
-            counts, spans, names = [], [], []
+            counts, spans, listed = [], [], []
             before = [batch.column(i).to_pylist() for i in range(len(kept) + 1, len(kept) + 3)] if again else None
             for i, text in enumerate(batch.column(place).cast(pa.binary())):
                 words = fold_words(text.as_py() or b"")
@@ -180,11 +178,11 @@ def _pass(rows: DataFrame, text_col: str, shard: Broadcast) -> DataFrame:
                     found, items = merged([*found, *zip(old[0::2], old[1::2])]), items | set(before[1][i])
                 counts.append(len(words))
                 spans.append([x for span in found for x in span])
-                names.append(sorted(items))
-            columns = [*batch.columns[:len(kept)], pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "_n_words", "_spans", "_items"])
+                listed.append(sorted(items))
+            columns = [*batch.columns[:len(kept)], pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(listed, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *names])
 
-    order = [*kept, "_n_words", "_spans", "_items"] if again else kept
+    order = [*kept, *names] if again else kept
     return rows.select(*[F.col(f"`{c}`") for c in order]).mapInArrow(scan, schema)
 
 
@@ -204,7 +202,7 @@ def clean(documents: DataFrame, items: DataFrame, text_col: str = "text", max_co
 
     Rows without a hit come back as they are, null texts too. Columns and their order stay.
     """
-    found = hits(documents, items, text_col=text_col, **options)
+    found = hits(documents, items, text_col=text_col, names=[free_name(name, documents.columns) for name in FOUND], **options)
     place, width, names = documents.columns.index(text_col), len(documents.columns), documents.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
