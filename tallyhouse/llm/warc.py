@@ -24,7 +24,6 @@ REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 * 1024 * 1024
 _CHUNK = 1 << 16
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_HEAD_LIMIT = 1 << 20
 
 _ARCHIVE = pa.schema([("path", pa.string()), ("records", pa.int64()), ("archive_bytes", pa.int64())])
 _RECORD = pa.schema([("record_key", pa.int64()), ("record_id", pa.string()), ("uri", pa.string()), ("payload", pa.binary()),
@@ -87,9 +86,10 @@ def read_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     for pieces in _members(stream):
         buffer = bytearray()
         try:
-            while (end := buffer.find(b"\r\n\r\n")) < 0:
-                piece = next(pieces, None)
-                if piece is None or len(buffer) > _HEAD_LIMIT:
+            seen = 0
+            while (end := buffer.find(b"\r\n\r\n", max(seen - 3, 0))) < 0:
+                seen, piece = len(buffer), next(pieces, None)
+                if piece is None:
                     raise WarcError("record without a header block")
                 buffer += piece
             lines = bytes(buffer[:end]).decode("utf-8").split("\r\n")
