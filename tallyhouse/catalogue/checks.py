@@ -357,6 +357,17 @@ SELECT reason, count(*) AS n FROM why WHERE reason IS NOT NULL GROUP BY reason""
         report_specs.NAMED_SALES, (),
         f"{_NO_VOID} AND \"OpenDate.Typed\" >= DATE '1998-06-20' AND \"OpenDate.Typed\" < DATE '1998-07-20'"),
     "report_daily_guests": _daily(_NO_VOID),
+    "report_over_states": f"""WITH {_REPORT_LINES},
+lines AS (SELECT * FROM report_lines WHERE {_NO_VOID} AND "OpenDate.Typed" BETWEEN DATE '1996-02-10' AND DATE '1998-03-20'),
+guests AS (SELECT "Department", sum(g) AS g FROM (SELECT DISTINCT "Department", "UniqOrderId.Id", "GuestNum" AS g FROM lines) GROUP BY ALL),
+sales AS (SELECT "Department", sum("DishSumInt") AS bd, sum("DishDiscountSumInt") AS ad, sum("DishAmountInt") AS n FROM lines GROUP BY ALL)
+SELECT sales."Department" AS Department, CAST(CAST(bd AS DECIMAL(18,4)) AS DOUBLE) AS DishSumInt,
+  CAST(CAST(ad AS DECIMAL(18,4)) AS DOUBLE) AS DishDiscountSumInt, CAST(g AS BIGINT) AS GuestNum,
+  {_ratio('ad', 'g')} AS DishDiscountSumInt_averageByGuest, CAST(CAST(n AS DECIMAL(18,4)) AS DOUBLE) AS DishAmountInt
+FROM sales JOIN guests ON sales."Department" = guests."Department" """,
+    "flags_as_rows": f"""WITH {_RAW_HEADER}, {_RAW_PAYMENT}
+SELECT uniqueOrderId, {_plain('accountingDay')}, FALSE AS transformFlag, {_OLD} AS fetchSales,
+  uniqueOrderId IN (SELECT uniqueOrderId FROM raw_payment WHERE paymentType = 'Card') AS fetchPayment FROM raw_header""",
     "report_filter_ids": _daily(
         f'{_NO_VOID} AND "UniqOrderId.Id" IN (SELECT uniqueOrderId FROM raw_header WHERE NOT fetchSales)', f"{_RAW_HEADER}, "),
     "report_filter_ids_excluded": _daily(

@@ -17,11 +17,13 @@ from tallyhouse.functions.columns import named
 from tallyhouse.operators.dedupe import find_duplicates, stored_rows
 from tallyhouse.operators.metrics import counted, misfits
 from tallyhouse.operators.progress import mark_done, mark_fetched, not_done
-from tallyhouse.operators.reports import DateRange, ReportSpec, ValueList, olap_report
+from tallyhouse.operators.reports import (
+    DateRange, ReportSpec, ValueList, olap_report, report_over_states, report_states, store_states, stored_states)
 from tallyhouse.operators.together import together
 from tallyhouse.operators.windows import (
     backfill_spans, backfill_windows, custom_dates, high_water_marks, pending_window, previous_day)
 from tallyhouse.plans import report_specs
+from tallyhouse.plans.flags import flagged_headers, fold_flags, set_returned
 from tallyhouse.plans.jobs import Warehouse, enrich, load, open_orders, store_marks, unmapped
 from tallyhouse.plans.loads import (
     StoresLoad, load_all_tables, load_currency, load_header, load_payment, load_payment_entry, load_sales, shape_header,
@@ -436,6 +438,18 @@ def report_with_void(t: Tables) -> DataFrame:
     return _stored_names(olap_report(t.report_lines(), spec))
 
 
+DAYS_REPORTED = DateRange("OpenDate.Typed", date(1996, 2, 10), date(1998, 3, 20))
+
+
+@query("report_over_states")
+def report_of_states(t: Tables) -> DataFrame:
+    """Sales per store over a range of days, from states that were stored by day."""
+    path = scratch_path(t.spark, "states")
+    store_states(report_states(t.report_lines(), DAILY), path, "OpenDate.Typed")
+    spec = ReportSpec(("Department",), DAILY.data_fields, (DAYS_REPORTED,))
+    return _stored_names(report_over_states(stored_states(t.spark, path, DAYS_REPORTED.first, DAYS_REPORTED.last), spec))
+
+
 # Windows and progress
 
 
@@ -518,6 +532,20 @@ def mark_sales_transformed(t: Tables) -> DataFrame:
     return mark_done(header, done, "uniqueOrderId", "salesTransformed")
 
 
+@query("flags_as_rows")
+def flags_as_rows(t: Tables) -> DataFrame:
+    """Stored headers whose flags were set by rows: payments that came back, then all sales that were asked for."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    load(warehouse, report_rows(t.raw_header(), schemas.HEADER_FIELDS).withColumn("StoreId", F.col("TableNum")), None, None, F.col("StoreId"), "first")
+    cards = t.raw_payment().filter(F.col("paymentType") == "Card")
+    for label in ("day 1", "day 2"):  # the second brings nothing new
+        set_returned(warehouse, "fetchPayment", flagged_headers(warehouse), cards, label, scope="returned")
+    asked = flagged_headers(warehouse).filter(F.col("accountingDay") < F.lit(STORED_BEFORE))
+    set_returned(warehouse, "fetchSales", asked, t.raw_sales(), "day 2")
+    fold_flags(warehouse, "fold")
+    return flagged_headers(warehouse).select("uniqueOrderId", "accountingDay", "transformFlag", "fetchSales", "fetchPayment")
+
+
 # Dimensions, stored tables, sinks and metrics
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field, replace
 from datetime import date, datetime, time
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import as_date, named
@@ -203,22 +203,77 @@ def _day(text: str) -> date:
     return at.date()
 
 
-def olap_report(lines: DataFrame, spec: ReportSpec, void: str = "IsVoid", non_business: str = "IsNonBusinessPayment") -> DataFrame:
-    """Run a report over sale lines. Output columns are the group fields, then the data fields.
-
-    `void` and `non_business` name boolean line columns; a missing column means no such rows.
-    """
+def _chosen(lines: DataFrame, spec: ReportSpec, void: str, non_business: str) -> DataFrame:
     rows = reduce(lambda df, condition: condition.apply(df), spec.filters, lines)
     for column, included in ((void, spec.include_void), (non_business, spec.include_non_business)):
         if not included and column in lines.columns:
             rows = rows.filter(~F.coalesce(named(column), F.lit(False)))
+    return rows
 
-    groups = [named(name) for name in spec.group_fields]
-    measures = {name: spec.measures[name] for name in spec.data_fields}
-    parts = list(dict.fromkeys(part for measure in measures.values() for part in measure.parts))
+
+def _parts(spec: ReportSpec) -> list[Part]:
+    return list(dict.fromkeys(part for name in spec.data_fields for part in spec.measures[name].parts))
+
+
+def _folded(rows: DataFrame, spec: ReportSpec) -> DataFrame:
+    """Group fields and folded parts."""
+    groups, parts = [named(name) for name in spec.group_fields], _parts(spec)
     by_order = any(part.kind == "once" for part in parts) and ORDER_ID not in spec.group_fields
     folded = rows.groupBy(*groups, *([named(ORDER_ID)] if by_order else [])).agg(*[p.over_lines() for p in parts])
-    if by_order:
-        folded = folded.groupBy(*groups).agg(*[part.over_orders() for part in parts])
-    return folded.select(*groups, *[
+    return folded.groupBy(*groups).agg(*[part.over_orders() for part in parts]) if by_order else folded
+
+
+def _finished(folded: DataFrame, spec: ReportSpec) -> DataFrame:
+    measures = {name: spec.measures[name] for name in spec.data_fields}
+    return folded.select(*[named(name) for name in spec.group_fields], *[
         measure.finish(*[named(part.name) for part in measure.parts]).alias(name) for name, measure in measures.items()])
+
+
+def olap_report(lines: DataFrame, spec: ReportSpec, void: str = "IsVoid", non_business: str = "IsNonBusinessPayment") -> DataFrame:
+    """Run a report over sale lines. Output columns are the group fields, then the data fields.
+
+    `void` and `non_business` name boolean line columns; a missing column means no such rows.
+    """
+    return _finished(_folded(_chosen(lines, spec, void, non_business), spec), spec)
+
+
+def report_states(lines: DataFrame, spec: ReportSpec, void: str = "IsVoid", non_business: str = "IsNonBusinessPayment") -> DataFrame:
+    """Partial results of a report: its group fields and, unfinished, the parts of its measures.
+
+    States of any lines can be put together and merged by `report_over_states`, for all or some of the groups. Lines of
+    one order have to share its group fields, such as the business day, as a once-per-order value is counted in each group.
+    """
+    return _folded(_chosen(lines, spec, void, non_business), spec)
+
+
+def report_over_states(states: DataFrame, spec: ReportSpec) -> DataFrame:
+    """A report over states, the same as over their lines.
+
+    Its groups and measures are among those of the states. Filters are on group fields of the states; rows of void and
+    non-business payments are in or out as they were for the states.
+    """
+    rows = reduce(lambda df, condition: condition.apply(df), spec.filters, states)
+    merged = rows.groupBy(*[named(name) for name in spec.group_fields]).agg(*[part.over_orders() for part in _parts(spec)])
+    return _finished(merged, spec)
+
+
+_MONTH = "_month"
+
+
+def store_states(states: DataFrame, path: str, day: str) -> None:
+    """Write states by month of their `day`, in place of what is stored of those months; others stay as they are.
+
+    So a delivery of whole months brings its months up to date.
+    """
+    dated = states.withColumn(_MONTH, F.coalesce(F.date_format(as_date(named(day)), "yyyy-MM"), F.lit("none")))
+    dated.hint("rebalance", _MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_MONTH).parquet(path)
+
+
+def stored_states(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Stored states, of the months from `first` to `last` if given; only these months' files are read."""
+    states = spark.read.parquet(path)
+    if first is not None:
+        states = states.filter(F.col(_MONTH) >= f"{first:%Y-%m}")
+    if last is not None:
+        states = states.filter(F.col(_MONTH) <= f"{last:%Y-%m}")
+    return states.drop(_MONTH)

@@ -1,11 +1,15 @@
+import contextlib
+import io
 import json
 from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from row_helpers import rows
 
-from tallyhouse.operators.reports import DateRange, ReportSpec, ValueList, olap_report
+from tallyhouse.operators.reports import (
+    DateRange, ReportSpec, ValueList, olap_report, report_over_states, report_states, store_states, stored_states)
 from tallyhouse.plans import report_specs
 
 SCHEMA = ("`UniqOrderId.Id` string, Department string, `OpenDate.Typed` string, Conception string, DishSumInt decimal(18,4), "
@@ -110,3 +114,29 @@ def test_last_print_time_comes_back_as_it_was_sent(spark):
 def test_requests_that_cannot_be_honoured_are_refused(change):
     with pytest.raises(ValueError):
         ReportSpec.from_request(json.dumps({"groupFields": ["a"], "dataFields": ["DishSumInt"], **change}))
+
+
+def test_reports_over_states_equal_those_over_lines(spark, lines, tmp_path):
+    times = lines.withColumn("DishServicePrintTime", F.concat("`OpenDate.Typed`", F.lit("T10:0"), "GuestNum", F.lit(":00")))
+    fields = ("DishSumInt", "GuestNum", "DishDiscountSumInt.averageByGuest", "Cooking.ServeTime.Avg", "DishServicePrintTime.Max",
+              "DishSumInt.averagePriceWithVAT")
+    by_day = ReportSpec(("Department", "Conception", "OpenDate.Typed"), fields)
+    path = str(tmp_path / "states")
+    store_states(report_states(times, by_day), path, "OpenDate.Typed")
+    late = times.withColumn("OpenDate.Typed", F.lit("2022-07-01"))
+    store_states(report_states(late, by_day), path, "OpenDate.Typed")
+    twice = late.withColumn("DishSumInt", F.col("DishSumInt") * 2)
+    store_states(report_states(twice, by_day), path, "OpenDate.Typed")  # July again; June stays
+    all_lines = times.unionByName(twice.withColumn("DishSumInt", F.col("DishSumInt").cast("decimal(18,4)")))
+    june = DateRange("OpenDate.Typed", date(2022, 6, 20), date(2022, 6, 21))
+    for groups in (("Department", "Conception", "OpenDate.Typed"), ("Conception", "OpenDate.Typed"), ("OpenDate.Typed",)):
+        spec = ReportSpec(groups, fields)
+        assert rows(report_over_states(stored_states(spark, path), spec)) == rows(olap_report(all_lines, spec))
+    for groups in (("Department",), ("Conception",)):
+        spec = ReportSpec(groups, fields, (june,))
+        assert rows(report_over_states(stored_states(spark, path, june.first, june.last), spec)) == rows(olap_report(times, spec))
+    # A range reads the files of its months only.
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        stored_states(spark, path, june.first, june.last).explain()
+    assert "PartitionFilters: [isnotnull(_month" in out.getvalue()
