@@ -9,11 +9,14 @@ the patterns do not know. Spans of the patterns stay as they are; the field only
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import math
 import re
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +35,12 @@ TRAIN_STRETCHES = 700
 EPOCHS = 5
 MAX_TOKENS = 8
 MAX_CHARS = 64
+# Words of a run above which its segments are not held.
+LONG_RUN = 1000
 # A segment is added when its marginal probability is at least this.
 LEAST_PROBABILITY = 0.6
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
+_EMAIL_HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 # A match cannot begin inside a run of digits: if it fails at the start of the run it fails further on, too.
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -59,19 +63,18 @@ def luhn(digits: str) -> bool:
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
-    at, done = text.find("@"), 0
-    while at >= 0:
-        # All of a match is in one run of these characters; only runs with an @ are searched.
-        start = at
+    """Hosts first, then back over what can stand before the @: time in proportion to the text, however long its runs."""
+    done = 0
+    for host in _EMAIL_HOST.finditer(text):
+        start = host.start()
         while start > done and text[start - 1] in _EMAIL_CHARS:
             start -= 1
-        end = _EMAIL_RUN.match(text, start).end()
-        for found in _EMAIL.finditer(text, start, end):
-            yield found.span()
-        done, at = end, text.find("@", end)
+        if start < host.start():
+            done = host.end()
+            yield start, done
 
 
-_EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
+_EMAIL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -146,48 +149,80 @@ class Stretch:
     segments: list[tuple[int, int, int, int, list[int]]]
 
 
-def stretches(text: str, taken: Sequence[Span] = ()) -> Iterator[Stretch]:
-    """The stretches of a text in which anything can be found; words that overlap `taken` are left out of segments."""
+@dataclass
+class _Run:
+    """Neighbouring words around signs that are closer to each other than a longest segment: none can leave it."""
+
+    text: str
+    words: list[tuple[int, int]]
+    free: list[bool]
+    marked: list[bool]
+
+    def segments(self, first: int, end: int) -> Iterator[tuple[int, int, int, int, list[int]]]:
+        """The segments that begin with the words from `first` to before `end`."""
+        text, words = self.text, self.words
+        for i in range(first, end):
+            for j in range(i, min(i + MAX_TOKENS, len(words))):
+                if not self.free[j]:
+                    break
+                if not any(self.marked[i:j + 1]):
+                    continue
+                start, stop = words[i][0], words[j][1]
+                while start < stop and text[start] in _OUTER:
+                    start += 1
+                while stop > start and text[stop - 1] in _OUTER + ".":
+                    stop -= 1
+                if not 6 <= stop - start <= MAX_CHARS or start >= words[i][1] or stop <= words[j][0]:
+                    continue
+                before = [text[a:b] for a, b in words[max(0, i - 2):i]]
+                yield i, j - i + 1, start, stop, features(text[start:stop], before)
+
+
+def _overlapped(words: Sequence[tuple[int, int]], spans: Sequence[tuple[int, int]]) -> list[bool]:
+    """Which of the words, in order, overlap one of the spans, sorted by start."""
+    out, at, reach = [], 0, -1
+    for start, end in words:
+        while at < len(spans) and spans[at][0] < end:
+            reach = max(reach, spans[at][1])
+            at += 1
+        out.append(reach > start)
+    return out
+
+
+def _runs(text: str, taken: Sequence[Span], longest: int | None) -> Iterator[_Run]:
     signs = [m.span() for m in _SIGN.finditer(text)]
     if " dot " in text or " DOT " in text:
         signs = sorted(signs + [m.span() for m in _SPOKEN.finditer(text)])
     if not signs:
         return
-    taken = sorted((a, b) for _, a, b in taken)
+    spans = sorted((a, b) for _, a, b in taken)
+    reach = list(accumulate((b for _, b in spans), max))
     at = 0
     while at < len(signs):
-        # Signs closer than a longest segment belong to one stretch.
         last = at
-        while last + 1 < len(signs) and signs[last + 1][0] - signs[last][1] <= MAX_CHARS and signs[last + 1][0] - signs[at][0] <= 16 * MAX_CHARS:
+        while last + 1 < len(signs) and signs[last + 1][0] - signs[last][1] <= 2 * MAX_CHARS and (
+                longest is None or signs[last + 1][0] - signs[at][0] <= longest):
             last += 1
         lo, hi = max(0, signs[at][0] - MAX_CHARS), min(len(text), signs[last][1] + MAX_CHARS)
         own = signs[at:last + 1]
         at = last + 1
-        if all(any(a <= s and e <= b for a, b in taken) for s, e in own):
+        here = spans[bisect.bisect_right(reach, lo):bisect.bisect_left(spans, (hi, 0))]
+        if here and len(own) <= 64 and all(any(a <= s and e <= b for a, b in here) for s, e in own):
             continue
         # The cut-off words at both ends only serve as context.
         words = [m.span() for m in _TOKEN.finditer(text, lo, hi)]
         words = [w for w in words if (w[0] > lo or lo == 0) and (w[1] < hi or hi == len(text))]
-        free = [not any(a < e and s < b for a, b in taken) for s, e in words]
-        marked = [any(a < e and s < b for a, b in own) for s, e in words]
-        segments = []
-        for i in range(len(words)):
-            for j in range(i, min(i + MAX_TOKENS, len(words))):
-                if not free[j]:
-                    break
-                if not any(marked[i:j + 1]):
-                    continue
-                start, end = words[i][0], words[j][1]
-                while start < end and text[start] in _OUTER:
-                    start += 1
-                while end > start and text[end - 1] in _OUTER + ".":
-                    end -= 1
-                if not 6 <= end - start <= MAX_CHARS or start >= words[i][1] or end <= words[j][0]:
-                    continue
-                before = [text[a:b] for a, b in words[max(0, i - 2):i]]
-                segments.append((i, j - i + 1, start, end, features(text[start:end], before)))
-        if segments:
-            yield Stretch(len(words), segments)
+        yield _Run(text, words, [not x for x in _overlapped(words, here)], _overlapped(words, own))
+
+
+def stretches(text: str, taken: Sequence[Span] = (), longest: int = 16 * MAX_CHARS) -> Iterator[Stretch]:
+    """What to learn from: the parts of a text in which anything can be found, cut after about `longest` characters.
+
+    Words that overlap `taken` are left out of segments.
+    """
+    for run in _runs(text, taken, longest):
+        if segments := list(run.segments(0, len(run.words))):
+            yield Stretch(len(run.words), segments)
 
 
 class Field:
@@ -239,6 +274,38 @@ class Field:
         sure, _ = self.marginals(stretch)
         return [(kind, start, end) for kind, start, end, s in reversed(spans) if sure[s, kind] >= LEAST_PROBABILITY]
 
+    def joint(self, run: _Run) -> list[Span]:
+        """`best` over a run of any length: segments are made twice, from left and from right, and not held."""
+        n, chosen = len(run.words), {}
+        left, right = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+        top, back = [-math.inf] * (n + 1), [None] * (n + 1)
+        left[0] = right[n] = top[0] = 0.0
+        for i in range(n):
+            for first, size, start, end, on in run.segments(i, i + 1):
+                scores = self.weights[:, on].sum(axis=1)
+                kind, j = int(scores.argmax()), first + size
+                left[j] = np.logaddexp(left[j], left[i] + np.logaddexp.reduce(scores))
+                if top[i] + scores[kind] > top[j]:
+                    top[j], back[j] = top[i] + scores[kind], (first, kind, start, end, scores[kind])
+            left[i + 1] = np.logaddexp(left[i + 1], left[i])
+            if top[i] >= top[i + 1]:
+                top[i + 1], back[i + 1] = top[i], None
+        j = n
+        while j > 0:
+            if back[j] is not None:
+                chosen[back[j][0]] = (j, *back[j][1:])
+            j = back[j][0] if back[j] is not None else j - 1
+        spans = []
+        for i in range(n - 1, -1, -1):
+            right[i] = right[i + 1]
+            for first, size, _, _, on in run.segments(i, i + 1):
+                right[i] = np.logaddexp(right[i], right[i + size] + np.logaddexp.reduce(self.weights[:, on].sum(axis=1)))
+            if i in chosen:
+                end_word, kind, start, end, score = chosen[i]
+                if math.exp(score + left[i] + right[end_word] - left[n]) >= LEAST_PROBABILITY:
+                    spans.append((kind, start, end))
+        return spans[::-1]
+
     def fit(self, labelled: Sequence[tuple[Stretch, Sequence[Span]]], epochs: int = EPOCHS, rate: float = 0.5, decay: float = 1e-3) -> Field:
         """Maximum likelihood by adaptive gradient steps, in the given order; a label that no segment has is passed over."""
         squares = np.full_like(self.weights, 1e-6)
@@ -308,10 +375,17 @@ def train(documents: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS,
     return field.fit(labelled) if labelled else field
 
 
+def _added(run: _Run, field: Field) -> list[Span]:
+    if len(run.words) > LONG_RUN:
+        return field.joint(run)
+    segments = list(run.segments(0, len(run.words)))
+    return field.best(Stretch(len(run.words), segments)) if segments else []
+
+
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """Pattern spans, and pattern spans with those the field adds beside them, by kind, then start."""
     base = base_spans(text)
-    added = [x for s in stretches(text, base) for x in field.best(s)]
+    added = [x for run in _runs(text, base, None) for x in _added(run, field)]
     return base, sorted({*base, *(x for x in added if not any(x[1] < b and a < x[2] for _, a, b in base))})
 
 
