@@ -68,6 +68,8 @@ class Lattice:
     def __init__(self, weights: Mapping[str, float]):
         self.weights = dict(weights)
         self.longest = max(map(len, weights))
+        # Weights of pieces, and 0 for what only starts one: what is in neither starts no piece, however it goes on.
+        self._starts = {p[:k]: 0.0 for p in weights for k in range(1, len(p))} | self.weights
         self.end = math.log(weights[_END])
 
     def _spelled(self, char: str) -> tuple[float, list[str]]:
@@ -77,23 +79,26 @@ class Lattice:
     def word(self, word: bytes) -> float:
         """Natural log of the probability of a word, over all segmentations."""
         text = _START + word.decode("utf-8", "replace")
-        get, longest = self.weights.get, self.longest
-        forward, shift = [1.0], 0.0
-        for j in range(1, len(text) + 1):
-            total = 0.0
-            for i in range(j - longest if j > longest else 0, j):
+        get, longest, n = self._starts.get, self.longest, len(text)
+        forward, shift = [1.0] + [0.0] * n, 0.0
+        for i in range(n):
+            here = forward[i]
+            if here < 1e-100:
+                # Sums that later pieces reach stay in step.
+                for k in range(i, min(i + longest, n + 1)):
+                    forward[k] *= 1e100
+                here, shift = forward[i], shift + 100 * _LN10
+            j = i + 1
+            weight = get(text[i:j])
+            if not weight:  # the character by itself is no piece
+                forward[j] += here * self._spelled(text[i])[0]
+            while weight is not None:
+                forward[j] += here * weight
+                j += 1
+                if j > n:
+                    break
                 weight = get(text[i:j])
-                if weight is not None:
-                    total += forward[i] * weight
-            if weight is None:  # the last character by itself is no piece
-                total += forward[j - 1] * self._spelled(text[j - 1])[0]
-            forward.append(total)
-            if total < 1e-100:
-                # Earlier sums stay in step, down to those that no later piece reaches.
-                for i in range(j - longest if j > longest else 0, j + 1):
-                    forward[i] *= 1e100
-                shift += 100 * _LN10
-        return math.log(forward[-1]) - shift
+        return math.log(forward[n]) - shift
 
     def expected(self, word: bytes, times: float, into: dict[str, float]) -> None:
         """Add the expected number of uses of each piece, over all segmentations, `times` the word.
@@ -120,20 +125,23 @@ class Lattice:
 
     def _expected(self, text: str, times: float, into: dict[str, float]) -> None:
         """`expected` of a word so short that its sums need no scale."""
-        get, longest, n = self.weights.get, self.longest, len(text)
+        get, n = self._starts.get, len(text)
         forward, edges = [1.0] + [0.0] * n, []
-        for j in range(1, n + 1):
-            total = 0.0
-            for i in range(j - longest if j > longest else 0, j):
-                weight = get(piece := text[i:j])
-                if weight is not None:
-                    total += forward[i] * weight
+        for i in range(n):
+            here, j = forward[i], i + 1
+            weight = get(piece := text[i:j])
+            if not weight:
+                spelled = self._spelled(text[i])[0]
+                forward[j] += here * spelled
+                edges.append((i, j, spelled, None))
+            while weight is not None:
+                if weight:
+                    forward[j] += here * weight
                     edges.append((i, j, weight, piece))
-            if weight is None:
-                weight = self._spelled(text[j - 1])[0]
-                total += forward[j - 1] * weight
-                edges.append((j - 1, j, weight, None))
-            forward[j] = total
+                j += 1
+                if j > n:
+                    break
+                weight = get(piece := text[i:j])
         backward = [0.0] * n + [times / forward[n]]
         for i, j, weight, piece in reversed(edges):
             share = weight * backward[j]
