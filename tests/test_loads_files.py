@@ -163,22 +163,22 @@ def test_extract_folders(spark, tmp_path):
 
 @pytest.mark.parametrize("form", ["csv", "json"])
 def test_extract_files_have_their_names(spark, tmp_path, form):
-    lines = [("1", "YoSushi", f"hot\n{i}") for i in range(25)] + [("1", "Panda Express", "a"), ("2", "YoSushi", "b"), ("9", "YoSushi", "lost")]
+    lines = [("1", "SaladBar", f"hot\n{i}") for i in range(25)] + [("1", "Noodle House", "a"), ("2", "SaladBar", "b"), ("9", "SaladBar", "lost")]
     data = spark.createDataFrame(lines, "storeID string, conception string, v string").repartition(3)
-    stores = spark.createDataFrame([("1", "ONE", "YoSushi", "GG"), ("1", "ONE", "Panda Express", "KING FU+1"), ("2", "TWO", "YoSushi", "GG")],
+    stores = spark.createDataFrame([("1", "ONE", "SaladBar", "GG"), ("1", "ONE", "Noodle House", "MAIN ST+1"), ("2", "TWO", "SaladBar", "GG")],
                                    schemas.STORE_MASTER_CONCEPTS)
     extracts = named_extracts(data, stores, date(2022, 6, 20), date(2022, 6, 20))
     path = str(tmp_path / "out")
     names = write_extract_files(extracts, path, form, file_rows=10)
     end = "2022-06-20_2022-06-20"
-    hot = [n for n in names if "PaymentEntry_1_ONE_YoSushi" in n]
-    assert hot[0] == f"GG/PaymentEntry_1_ONE_YoSushi_{end}.{form}" and f"GG/PaymentEntry_1_ONE_YoSushi_{end}_2.{form}" in hot and len(hot) >= 3
-    assert sorted(set(names) - set(hot)) == [f"GG/PaymentEntry_2_TWO_YoSushi_{end}.{form}", f"KING FU+1/PaymentEntry_1_ONE_Panda Express_{end}.{form}"]
+    hot = [n for n in names if "PaymentEntry_1_ONE_SaladBar" in n]
+    assert hot[0] == f"GG/PaymentEntry_1_ONE_SaladBar_{end}.{form}" and f"GG/PaymentEntry_1_ONE_SaladBar_{end}_2.{form}" in hot and len(hot) >= 3
+    assert sorted(set(names) - set(hot)) == [f"GG/PaymentEntry_2_TWO_SaladBar_{end}.{form}", f"MAIN ST+1/PaymentEntry_1_ONE_Noodle House_{end}.{form}"]
     assert sorted(str(p.relative_to(path)) for p in (tmp_path / "out").rglob(f"*.{form}") if not p.name.startswith(".")) == names
     assert [p.name for p in tmp_path.iterdir()] == ["out"]
     back = read_extract_files(spark, path, data.schema, form)
     assert rows(back.select("storeID", "conception", "v")) == sorted(lines[:-1])
-    assert rows(back.filter("v = 'a'").select("Folder", "File")) == [("KING FU+1", f"PaymentEntry_1_ONE_Panda Express_{end}.{form}")]
+    assert rows(back.filter("v = 'a'").select("Folder", "File")) == [("MAIN ST+1", f"PaymentEntry_1_ONE_Noodle House_{end}.{form}")]
     with pytest.raises(FileExistsError):
         write_extract_files(extracts, path, form)
     with pytest.raises(ValueError):
