@@ -201,6 +201,45 @@ def test_expectation_goes_over_whole_long_words(monkeypatch, part):
     assert math.isclose(sums["<0xC3>"], 18_000) and math.isclose(sums["<0xA9>"], 18_000)
 
 
+@pytest.mark.parametrize("at_once, laid_out", [(1 << 16, 1 << 16), (40, 3)])
+def test_words_side_by_side_equal_words_by_themselves(monkeypatch, at_once, laid_out):
+    monkeypatch.setattr(lattice_lm, "_AT_ONCE", at_once)
+    monkeypatch.setattr(lattice_lm, "_LAID_OUT", laid_out)
+    lattice = lattice_lm.Lattice(lattice_lm.read_pieces(PIECES))
+    texts = ["the", "a", "straße", "漢字" * 9, "a\x00b", "x" * 63, "y" * 64, "z" * 5000, "é\U0001F600" * 30, "unbelievable", "thé", "quickly", "▁▁a", "\U000E0041" * 15]
+    words, times = [*(t.encode() for t in texts), b"\xff\xfe", b"a\xf0\x9f"], [k + 1.0 for k in range(len(texts) + 2)]
+    side = lattice_lm.SideBySide(lattice)
+    assert np.allclose(side.logs(words), [lattice.word(w) for w in words], rtol=1e-12)
+    want: dict = {}
+    for w, n in zip(words, times):
+        lattice.expected(w, n, want)
+    got = side.expected(words, times)
+    assert all(math.isclose(got.get(p, 0.0), n, rel_tol=1e-9, abs_tol=1e-100) for p, n in want.items()) and got.keys() <= want.keys()
+    assert len(side.logs([])) == 0 and side.expected([], []) == {}
+
+
+def test_improbable_short_words_are_counted_whole(documents):
+    """Fifteen letters of four byte pieces each: less likely than the least double."""
+    lattice = lattice_lm.Lattice(lattice_lm.read_pieces(PIECES))
+    word, sums = "\U000E0041" * 15, {}
+    lattice.expected(word.encode(), 3, sums)
+    assert math.isclose(sum(n for p, n in sums.items() if p.startswith("<0x")), 3 * 15 * 4)
+    rows = lattice_lm.report(documents([(k, f"{word} and more") for k in range(9)]), PIECES).collect()
+    assert len(rows) == 9 and all(math.isfinite(r.score) for r in rows)
+
+
+def test_names_of_the_end_and_of_byte_pieces_are_plain_text():
+    weights = {"</s>": 0.3, "▁": 0.1, "<": 0.1, "/": 0.1, "s": 0.1, ">": 0.1, "0": 0.1, "x": 0.05, "1": 0.05, "<0x11>": 0.2}
+    lattice = lattice_lm.Lattice(weights)
+    for word in ("</s>", "<0x11>"):
+        want = math.prod(weights[c] for c in "▁" + word)
+        assert math.isclose(lattice.word(word.encode()), math.log(want))
+        assert math.isclose(lattice_lm.SideBySide(lattice).logs([word.encode()])[0], math.log(want))
+        sums = {}
+        lattice.expected(word.encode(), 1, sums)
+        assert word not in sums
+
+
 def test_language_model_report(documents):
     rows = [(k, f"{TEXT}{k} new{k % 7} words") for k in range(60)] + [(100, None), (101, ""), (102, "x" * 5000), (103, "漢字 " * 10)]
     got = {r.doc_id: r for r in lattice_lm.report(documents(rows), PIECES).collect()}
