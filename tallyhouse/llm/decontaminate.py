@@ -9,7 +9,7 @@ window of its own length.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.automaton import SuffixAutomaton
-from tallyhouse.llm.common import free_name, written
+from tallyhouse.llm.common import free_name, slices, written
 
 WINDOW = 10
 # An automaton takes about a kilobyte per item word in a Python worker. More words than this are split over several
 # automata, and documents pass them one after the other.
 SHARD_WORDS = 200_000
 MAX_COVERAGE = 0.5
+# Bytes of text cut at once.
+_TEXT_BYTES = 4 << 20
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 # Letters A-Z become small, other ASCII but digits and letters becomes a space; bytes of longer characters stay.
@@ -148,16 +150,26 @@ def hits(documents: DataFrame, items: DataFrame, text_col: str = "text", item_co
     for but cannot be named. Repeated items count once by id; each document row, also a repeated one, is looked at by
     itself. Columns of these three names are replaced. Items beyond one automaton take one pass over the documents each.
     """
+    return _hits(documents, items, text_col, item_col, item_text_col, window, shard_words, names)
+
+
+# What a pass does with its own rows before they leave the worker, and the columns that come out.
+Then = tuple[Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], T.StructType]
+
+
+def _hits(documents: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+          window: int = WINDOW, shard_words: int = SHARD_WORDS, names: Sequence[str] = FOUND, then: Then | None = None) -> DataFrame:
+    """`hits`, with `then` done in the last pass: a task with two Python steps in a row holds two workers, and both stay."""
     rows, last = documents.drop(*names), None
     for shard in automata(items, item_col, item_text_col, window, shard_words):
         if last is not None:  # one automaton at a time, on the driver and in a worker
-            rows = written(rows, "decontaminate")
+            rows = written(_pass(rows, text_col, last, tuple(names)), "decontaminate")
             last.unpersist()
-        rows, last = _pass(rows, text_col, shard, tuple(names)), shard
-    return rows
+        last = shard
+    return _pass(rows, text_col, last, tuple(names), then)
 
 
-def _pass(rows: DataFrame, text_col: str, shard: Broadcast, names: tuple[str, ...]) -> DataFrame:
+def _pass(rows: DataFrame, text_col: str, shard: Broadcast, names: tuple[str, ...], then: Then | None = None) -> DataFrame:
     again = names[1] in rows.columns
     kept = [c for c in rows.columns if c not in names]
     place = kept.index(text_col)
@@ -183,7 +195,11 @@ def _pass(rows: DataFrame, text_col: str, shard: Broadcast, names: tuple[str, ..
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *names])
 
     order = [*kept, *names] if again else kept
-    return rows.select(*[F.col(f"`{c}`") for c in order]).mapInArrow(scan, schema)
+    given = rows.select(*[F.col(f"`{c}`") for c in order])
+    if then is None:
+        return given.mapInArrow(scan, schema)
+    further, schema = then
+    return given.mapInArrow(lambda batches: further(scan(batches)), schema)
 
 
 def report(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -202,11 +218,10 @@ def clean(documents: DataFrame, items: DataFrame, text_col: str = "text", max_co
 
     Rows without a hit come back as they are, null texts too. Columns and their order stay.
     """
-    found = hits(documents, items, text_col=text_col, names=[free_name(name, documents.columns) for name in FOUND], **options)
     place, width, names = documents.columns.index(text_col), len(documents.columns), documents.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, place, _TEXT_BYTES):
             texts, keep = [], []
             for text, n, flat in zip(batch.column(place).cast(pa.binary()).to_pylist(), batch.column(width).to_pylist(), batch.column(width + 1).to_pylist()):
                 spans = list(zip(flat[0::2], flat[1::2]))
@@ -216,4 +231,5 @@ def clean(documents: DataFrame, items: DataFrame, text_col: str = "text", max_co
             columns[place] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(cut, documents.schema)
+    free = [free_name(name, documents.columns) for name in FOUND]
+    return _hits(documents, items, text_col=text_col, names=free, then=(cut, documents.schema), **options)

@@ -46,6 +46,22 @@ def test_clean_cuts_spans_and_drops_covered_documents(spark, documents):
         1: "x1 x2 x3 x4 x5 x6 x7 x8 x9 x10 x11 x12. ! end", 3: "clean text é", 4: None, 5: ""}
 
 
+def test_clean_finds_and_cuts_in_one_worker(spark, documents, capsys, monkeypatch):
+    # Two Python steps in a row hold two workers for each task, and idle workers stay beside those of later stages.
+    items = spark.createDataFrame([(1, "the noise of the town where the road ends by old mill"), (2, "short one")], "item_id long, text string")
+    rows = [(k, f"lead {k} the noise of the town where the road ends by old mill and then a tail that goes on for some more words") for k in range(30)]
+    table = documents([*rows, (98, "short one"), (99, None)])
+    kept = decontaminate.clean(table, items)
+    kept.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    whole = sorted(map(str, kept.collect()))
+    assert len(whole) == 31 and not any("noise" in x for x in whole)
+    # Text by text, and by several automata one after the other, the same comes out.
+    monkeypatch.setattr(decontaminate, "_TEXT_BYTES", 1)
+    assert sorted(map(str, decontaminate.clean(table, items).collect())) == whole
+    assert sorted(map(str, decontaminate.clean(table, items, shard_words=4).collect())) == whole
+
+
 def test_no_items_and_no_documents(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.n_hit for r in decontaminate.report(documents([(1, TEXT)]), none).collect()] == [0]
