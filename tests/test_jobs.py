@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from row_helpers import rows
+from row_helpers import left_by, rows
 
 from tallyhouse import schemas
 from tallyhouse.operators.dedupe import new_beside_buckets
@@ -272,3 +272,28 @@ def test_an_empty_delivery(spark, tmp_path):
     load(warehouse, *delivery(spark), F.lit("9"), "a")
     enrich(warehouse, mappings(spark, "S"), "a")
     assert all(warehouse.read(table).count() == 0 for table in TABLES)
+
+
+def test_a_load_moves_no_stored_row_and_leaves_no_shuffle(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path), buckets=4)
+    orders = [f"o{i}" for i in range(60)]
+    load(warehouse, *delivery(spark, *orders[:55]), F.lit("9"), "a")
+    plans, write = {}, Warehouse._write
+
+    def recorded(self, table, batch, name):
+        plans[table] = batch._jdf.queryExecution().executedPlan().toString()
+        return write(self, table, batch, name)
+
+    monkeypatch.setattr(Warehouse, "_write", recorded)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert left_by(spark, lambda: load(warehouse, *delivery(spark, *orders), F.lit("9"), "b")) == set()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for table in ("rawHeader", "rawSales"):
+        # Stored rows are sifted out first; what is left is dealt to the buckets once, and not rebalanced again.
+        assert "bitmap_construct_agg" in plans[table] and "REBALANCE" not in plans[table]
+    assert ids(warehouse, "rawHeader", "uniqueOrderId") == sorted((o,) for o in orders)
+    assert warehouse.read("rawSales").count() == warehouse.read("rawSales", bucketed=False).count() == 120
+    assert rows(warehouse.history().filter("number = 2 AND table LIKE 'raw%'").select("table", "rows")) == [
+        ("rawHeader", 5), ("rawPayment", 5), ("rawSales", 10)]
