@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions.columns import blank_nulls, named, row_key
+from tallyhouse.functions.columns import as_date, blank_nulls, named, row_key
 from tallyhouse.operators.dedupe import find_duplicates, new_rows
 from tallyhouse.operators.joins import small_sides
 from tallyhouse.operators.windows import rows_inside, rows_to_backfill
@@ -78,9 +78,12 @@ def load_payment(rows: DataFrame, stored: DataFrame, hot: Sequence[int] = (), bl
     return _new_by_uid(shape_payment(rows), stored, hot, blank_is_new)
 
 
-def load_sales(rows: DataFrame, stored: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
-    """Sales lines of orders not stored yet. Lines that arrive late for a stored order are dropped with it."""
-    return new_rows(shape_sales(rows), stored, "uniqueOrderId", hot, sift=True)
+def load_sales(rows: DataFrame, stored: DataFrame, hot: Sequence[int] = (), sift: bool = True) -> DataFrame:
+    """Sales lines of orders not stored yet. Lines that arrive late for a stored order are dropped with it.
+
+    `sift` is of no use for rows that were joined by order before, as they have been moved already.
+    """
+    return new_rows(shape_sales(rows), stored, "uniqueOrderId", hot, sift)
 
 
 class EntryLoad(NamedTuple):
@@ -116,16 +119,19 @@ def load_all_tables(headers: DataFrame, payments: DataFrame, sales: DataFrame, s
     read several times, so give a stored table.
     """
     small = "spans" in small_sides({"spans": spans})
+    # Days of no span go by a plain filter, which Spark puts before joins that placed the rows in their stores.
+    first, last = spans.agg(F.min("_from"), F.max("_to")).first()
 
     def inside(rows: DataFrame, store: Column, day: str) -> DataFrame:
-        marked = rows.withColumns({"_store": store.cast("string"), "_day": named(day)})
+        asked = rows.filter(as_date(named(day)).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        marked = asked.withColumns({"_store": store.cast("string"), "_day": named(day)})
         return rows_inside(marked, spans.withColumnRenamed("storeID", "_store"), small, "_store", "_day").drop("_store", "_day")
 
     batch = rows_inside(shape_header(headers, store_id), spans, small)
     return StoresLoad(
         new_rows(batch, stored.headers, ["storeID", "uniqueOrderId"]),
         load_payment(inside(payments, payment_store, "OpenDate.Typed"), stored.payments),
-        load_sales(inside(sales, sales_store, "OpenDate.Typed"), stored.sales, hot))
+        load_sales(inside(sales, sales_store, "OpenDate.Typed"), stored.sales, hot, sift=False))
 
 
 def load_currency(sheet: DataFrame) -> DataFrame:
